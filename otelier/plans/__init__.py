@@ -1,0 +1,11 @@
+"""Derived telemetry, the registered queries and their SQL counterparts."""
+
+from importlib import import_module
+
+MODULES = ("flattening",)
+
+
+def load_all() -> None:
+    """Import every query module, which fills the registry."""
+    for name in MODULES:
+        import_module(f"otelier.plans.{name}")
