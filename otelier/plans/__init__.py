@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("flattening",)
+MODULES = ("flattening", "attribute_queries", "relational_queries")
 
 
 def load_all() -> None:

@@ -7,13 +7,16 @@ unique id (or a day of hourly values), so a customer, user or conversation with
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from otelier.functions.anyvalue import make_attribute, make_value
 from otelier.functions.expressions import running_totals
 from otelier.operators.flatten import (
-    flat_row, log_columns, resource_columns, scope_columns, span_columns,
+    flat_row, flatten_metrics, log_columns, resource_columns, scope_columns, span_columns,
 )
+from otelier.operators.profiles_flatten import flatten_profiles
 from otelier.schemas import (
     ANY_VALUE_INDEXED, BUCKETS, DICTIONARY, EXEMPLAR, LOG_RECORD, METRIC, PROFILE, RESOURCE,
     SCOPE, SPAN_EVENT, SPAN_RECORD, camel, packet_schema,
@@ -28,6 +31,20 @@ HOUR = 3_600_000_000_000
 MILLI = 1_000_000
 
 
+def planned_once(build):
+    """Build the (lazy) plan once per application and input. Only the plan is kept; no data is cached."""
+    plans: dict[tuple[str, str], DataFrame] = {}
+
+    @wraps(build)
+    def get(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in plans:
+            plans[key] = build(spark, sf)
+        return plans[key]
+
+    return get
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -136,10 +153,12 @@ def span_records(spark: SparkSession, sf: str) -> DataFrame:
         _resource(service).alias("resource"), record.alias("record"))
 
 
+@planned_once
 def span_packets(spark: SparkSession, sf: str) -> DataFrame:
     return _packets(span_records(spark, sf), ["o_custkey", "part"], ["o_orderkey", "line"], "spans", "orders")
 
 
+@planned_once
 def spans(spark: SparkSession, sf: str) -> DataFrame:
     """Flat spans without the way through packets: equal rows, but for lineage."""
     return _flat(span_records(spark, sf), "spans", "orders", span_columns)
@@ -189,10 +208,12 @@ def log_records(spark: SparkSession, sf: str) -> DataFrame:
         _resource(service).alias("resource"), record.alias("record"))
 
 
+@planned_once
 def log_packets(spark: SparkSession, sf: str) -> DataFrame:
     return _packets(log_records(spark, sf), ["user_id", "day", "part"], ["event_id"], "logs", "app")
 
 
+@planned_once
 def logs(spark: SparkSession, sf: str) -> DataFrame:
     """Flat logs without the way through packets: equal rows, but for lineage."""
     return _flat(log_records(spark, sf), "logs", "app", log_columns)
@@ -240,6 +261,7 @@ def hourly(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
+@planned_once
 def metric_packets(spark: SparkSession, sf: str) -> DataFrame:
     """A packet per service and day, with the five kinds of metric and one that has no type."""
     rows = hourly(spark, sf)
@@ -321,6 +343,7 @@ def metric_packets(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- profiles
 
 
+@planned_once
 def profile_packets(spark: SparkSession, sf: str) -> DataFrame:
     """A packet per run of turns of a conversation: a turn is a sample, its words are the stack, the first is the leaf.
 
@@ -418,6 +441,18 @@ def profile_packets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@planned_once
+def metric_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat metrics by way of the packets; they are few, since the events are aggregated first."""
+    return flatten_metrics(metric_packets(spark, sf))
+
+
+@planned_once
+def profile_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat profiles by way of the packets."""
+    return flatten_profiles(profile_packets(spark, sf))
+
+
 PACKETS = {"logs": log_packets, "spans": span_packets, "metrics": metric_packets, "profiles": profile_packets}
 
 

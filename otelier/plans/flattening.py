@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import functions as F
 
-from otelier.functions.anyvalue import any_value, last_value
+from otelier.functions.anyvalue import any_value
 from otelier.functions.expressions import hex_id
-from otelier.operators.flatten import flatten_logs, flatten_metrics, flatten_spans, untyped_metrics
+from otelier.operators.flatten import flatten_logs, flatten_spans, untyped_metrics
 from otelier.operators.packets import deflatten, ingest_counters, packet_outcome
-from otelier.operators.profiles_flatten import BAD_VALUES, flatten_profiles
+from otelier.operators.profiles_flatten import BAD_VALUES
 from otelier.plans import fixtures
 from otelier.plans.oracle import FRAMES, HOURS, LOGS, POINTS, PROFILES, SPANS
-from otelier.plans.registry import query
+from otelier.plans.registry import attribute, big, hexed, query
 from otelier.sources.flat import FLATTEN
 
 
-def big(name: str, out: str | None = None):
-    return F.col(name).cast("bigint").alias(out or name)
-
-
-def attribute(col: str, key: str, out: str):
-    return any_value(last_value(F.col(col), key)).alias(out)
-
-
-def hexed(*names: str):
-    return [hex_id(n).alias(n) for n in names]
-
-
-def profile_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten_profiles(fixtures.profile_packets(spark, sf))
-
-
 @query("flat_logs", """
 SELECT batch, row_number() OVER (PARTITION BY batch ORDER BY event_id) - 1 AS seq_no, service, time_ns,
   time_ns + 1000 AS observed_ns, severity_number, severity_text, trace_id, span_id, event_type
@@ -66,7 +50,7 @@ SELECT batch, CAST(seq_no AS BIGINT) AS seq_no, point, name, type, event_type, s
   CASE type WHEN 'SUMMARY' THEN CAST(total AS DOUBLE) END AS summary_sum
 FROM points""", POINTS)
 def flat_metrics(spark, sf):
-    rows = flatten_metrics(fixtures.metric_packets(spark, sf))
+    rows = fixtures.metric_rows(spark, sf)
     return rows.select(
         F.col("batch_UUID").alias("batch"), big("seq_no"), big("datapoint_seq_no", "point"), "name", "type",
         attribute("attributes", "event.type", "event_type"), F.col("start_time_unix_nano").alias("start_ns"),
@@ -87,7 +71,7 @@ SELECT batch, CAST(1 AS BIGINT) AS resource_seq_no, CAST(0 AS BIGINT) AS scope_s
   CAST(0 AS BIGINT) AS profile_seq_no, sample AS sample_seq_no, CAST(value_no AS BIGINT) AS value_seq_no,
   profile_id, start_ns, CAST(len(words) AS BIGINT) AS depth FROM profile_rows""", PROFILES)
 def flat_profiles(spark, sf):
-    return profile_rows(spark, sf).select(
+    return fixtures.profile_rows(spark, sf).select(
         F.col("batch_UUID").alias("batch"),
         *[big(c) for c in ("resource_seq_no", "scope_seq_no", "profile_seq_no", "sample_seq_no", "value_seq_no")],
         *hexed("profile_id"), F.col("time_unix_nano").alias("start_ns"), F.size("stack").cast("bigint").alias("depth"))
@@ -97,7 +81,7 @@ def flat_profiles(spark, sf):
 SELECT batch, sample AS sample_seq_no, CAST(value_no AS BIGINT) AS value_seq_no, value, ts_ns, is_valid,
   CASE WHEN NOT is_valid THEN '{BAD_VALUES}' END AS error_message FROM profile_rows""", PROFILES)
 def flat_sample_values(spark, sf):
-    return profile_rows(spark, sf).select(
+    return fixtures.profile_rows(spark, sf).select(
         F.col("batch_UUID").alias("batch"), big("sample_seq_no"), big("value_seq_no"), "value",
         F.col("timestamp_unix_nano").alias("ts_ns"), "is_valid", "error_message")
 
@@ -107,7 +91,7 @@ SELECT word AS function_name, role AS filename, count(*) AS frames, CAST(sum(pos
   CAST(sum(pos) AS BIGINT) AS lines, 'conversation' AS mapping, 'chars' AS sample_type, 'turn' AS period_type
 FROM frames GROUP BY word, role""", FRAMES)
 def prof_dictionary(spark, sf):
-    frames = profile_rows(spark, sf).select("sample_type", "period_type", F.explode("stack").alias("at"))
+    frames = fixtures.profile_rows(spark, sf).select("sample_type", "period_type", F.explode("stack").alias("at"))
     line = F.get("at.lines", F.lit(0))
     return frames.groupBy(
         line["function"]["name"].alias("function_name"), line["function"]["filename"].alias("filename"),
@@ -119,14 +103,14 @@ def prof_dictionary(spark, sf):
 @query("prof_link", """
 SELECT profile_id AS trace_id, link_span AS span_id, count(*) AS n FROM profile_rows GROUP BY 1, 2""", PROFILES)
 def prof_link(spark, sf):
-    return profile_rows(spark, sf).groupBy(*hexed("trace_id", "span_id")).agg(F.count(F.lit(1)).alias("n"))
+    return fixtures.profile_rows(spark, sf).groupBy(*hexed("trace_id", "span_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("attr_strindex", """
 SELECT host, role, 'count' AS unit, count(*) AS n FROM profile_rows GROUP BY host, role""", PROFILES)
 def attr_strindex(spark, sf):
     role = F.get("attributes", F.lit(0))
-    return profile_rows(spark, sf).groupBy(
+    return fixtures.profile_rows(spark, sf).groupBy(
         attribute("resource_attributes", "host.name", "host"), any_value(role["value"]).alias("role"),
         role["unit"].alias("unit")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -150,7 +134,7 @@ SELECT name, type, CASE type WHEN 'GAUGE' THEN 'AS_DOUBLE' END AS gauge_type,
   CASE type WHEN 'HISTOGRAM' THEN CAST(sum(total) AS DOUBLE) END AS histogram_sums
 FROM points GROUP BY name, type""", POINTS)
 def metric_columns(spark, sf):
-    rows = flatten_metrics(fixtures.metric_packets(spark, sf))
+    rows = fixtures.metric_rows(spark, sf)
     return rows.groupBy("name", "type", "gauge_type", "sum_type", "aggregation_temporality", "is_monotonic").agg(
         F.count(F.lit(1)).alias("points"), F.sum("gauge_int").alias("gauge_ints"), F.sum("sum_int").alias("sums"),
         F.sum("histogram_sum").alias("histogram_sums"))
@@ -195,7 +179,7 @@ def deflatten_spans(spark, sf):
 SELECT is_valid, CASE WHEN NOT is_valid THEN '{BAD_VALUES}' END AS error_message, count(*) AS n
 FROM profile_rows GROUP BY is_valid""", PROFILES)
 def validity(spark, sf):
-    return profile_rows(spark, sf).groupBy("is_valid", "error_message").agg(F.count(F.lit(1)).alias("n"))
+    return fixtures.profile_rows(spark, sf).groupBy("is_valid", "error_message").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("packet_outcome", f"""
@@ -203,7 +187,7 @@ SELECT batch, count(*) AS n, count(*) FILTER (WHERE NOT is_valid) AS rejected,
   CASE WHEN count(*) FILTER (WHERE NOT is_valid) > 0 THEN '{BAD_VALUES}' END AS error_message
 FROM profile_rows GROUP BY batch""", PROFILES)
 def outcome(spark, sf):
-    return packet_outcome(profile_rows(spark, sf), "profiles").select(
+    return packet_outcome(fixtures.profile_rows(spark, sf), "profiles").select(
         F.col("batch_UUID").alias("batch"), F.col("rows").alias("n"), "rejected", "error_message")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from otelier.functions.anyvalue import any_value, last_value
+from otelier.functions.expressions import column, hex_id
 from otelier.plans.oracle import with_tables
 from otelier.session import configure
 
@@ -26,3 +28,18 @@ def query(name: str, sql: str | None = None, *tables: str):
         return plan
 
     return register
+
+
+# ---------------------------------------------------------------- result columns: scalars that SQL has too
+
+
+def big(name: str, out: str | None = None) -> Column:
+    return column(name).cast("bigint").alias(out or name)
+
+
+def attribute(col: str, key: str, out: str) -> Column:
+    return any_value(last_value(F.col(col), key)).alias(out)
+
+
+def hexed(*names: str) -> list[Column]:
+    return [hex_id(n).alias(n) for n in names]
