@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("flattening", "attribute_queries", "relational_queries")
+MODULES = ("flattening", "attribute_queries", "relational_queries", "trace_queries", "metric_queries",
+           "profile_queries")
 
 
 def load_all() -> None:
