@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("flattening", "attribute_queries", "relational_queries", "trace_queries", "metric_queries",
-           "profile_queries")
+           "profile_queries", "io_queries")
 
 
 def load_all() -> None:

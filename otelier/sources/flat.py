@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from otelier.functions.expressions import NANOS_PER_HOUR, nanos_to_timestamp
 from otelier.operators.flatten import flatten_logs, flatten_metrics, flatten_spans
@@ -41,8 +41,8 @@ def with_event_time(df: DataFrame, signal: str) -> DataFrame:
 
 def read_hourly(spark: SparkSession, signal: str, path: str, start_nanos: int, end_nanos: int) -> DataFrame:
     """Rows of [start, end) from an hourly table. The hours prune partitions, the nanos filter within them."""
-    schema = flat_schema(signal).simpleString()[len("struct<"):-1]
-    table = spark.read.schema(f"{schema},event_hour:timestamp").parquet(path)
+    schema = T.StructType([*flat_schema(signal).fields, T.StructField("event_hour", T.TimestampType())])
+    table = spark.read.schema(schema).parquet(path)
     first, last = start_nanos // NANOS_PER_HOUR, (end_nanos - 1) // NANOS_PER_HOUR
     time = F.col(EVENT_TIME[signal])
     return table.filter(
