@@ -9,6 +9,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
+from otelier.functions.expressions import no_items, typed_struct
 from otelier.schemas import ANY_VALUE, KEY_VALUE
 
 # Fixed texts that stand for values too complex to compare as text.
@@ -33,12 +34,11 @@ BRANCHES = {
 
 def make_value(branch: str | None = None, value: Column | None = None) -> Column:
     """An attribute value with one branch set (or none)."""
-    fields = [b for b in BRANCHES if b != "string_value_strindex"]
-    return F.struct(*[(value if f == branch else F.lit(None)).alias(f) for f in fields]).cast(ANY_VALUE)
+    return typed_struct(ANY_VALUE, **({branch: value} if branch else {}))
 
 
-def make_attribute(key: str, branch: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("key"), make_value(branch, value).alias("value"))
+def make_attribute(key: Column | str, branch: str, value: Column) -> Column:
+    return typed_struct(KEY_VALUE, key=F.lit(key) if isinstance(key, str) else key, value=make_value(branch, value))
 
 
 def value_branch(v: Column) -> Column:
@@ -276,12 +276,9 @@ def with_defaults(attributes: Column, defaults: str) -> Column:
     if not pairs:
         return attributes
     added = F.array(*[
-        F.struct(
-            F.lit(p[0]).alias("key"),
-            (make_value("string_value", F.lit(p[1])) if len(p) > 1 else make_value()).alias("value"),
-        )
+        typed_struct(KEY_VALUE, key=F.lit(p[0]),
+                     value=make_value("string_value", F.lit(p[1])) if len(p) > 1 else make_value())
         for p in pairs
     ])
-    both = F.concat(added, F.coalesce(attributes, F.array().cast(f"array<{KEY_VALUE}>")))
-    return F.map_entries(F.map_from_entries(both)).cast(f"array<{KEY_VALUE}>")
+    return F.map_entries(F.map_from_entries(F.concat(added, F.coalesce(attributes, no_items(KEY_VALUE)))))
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from otelier.schemas import struct
+
 NANOS_PER_HOUR = 3_600_000_000_000
 
 
@@ -27,6 +29,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def typed_struct(ddl: str, **fields: Column) -> Column:
+    """A struct of the given type; fields that are not named are null.
+
+    Each scalar is cast on its own. A cast of the whole struct would give the same value, but Catalyst cannot see
+    through it: every access to one field would build all of them.
+    """
+    parts = []
+    for f in struct(ddl).fields:
+        value = fields.pop(f.name, None)
+        if value is None:
+            value = F.lit(None).cast(f.dataType)
+        elif not isinstance(f.dataType, (T.StructType, T.ArrayType)):
+            value = value.cast(f.dataType)
+        parts.append(value.alias(f.name))
+    if fields:
+        raise ValueError(f"no such fields: {sorted(fields)}")
+    return F.struct(*parts)
+
+
+def no_items(element_ddl: str) -> Column:
+    return F.array().cast(f"array<{element_ddl}>")
+
+
 def or_empty(array: Column) -> Column:
     """JSON leaves empty lists out, so a missing list is an empty list."""
     return F.coalesce(array, F.array())

@@ -11,15 +11,15 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from otelier.functions.anyvalue import make_attribute, make_value
-from otelier.functions.expressions import running_totals
+from otelier.functions.anyvalue import make_attribute
+from otelier.functions.expressions import no_items, running_totals, typed_struct
 from otelier.operators.flatten import (
     flat_row, flatten_metrics, log_columns, resource_columns, scope_columns, span_columns,
 )
 from otelier.operators.profiles_flatten import flatten_profiles
 from otelier.schemas import (
-    ANY_VALUE_INDEXED, BUCKETS, DICTIONARY, EXEMPLAR, LOG_RECORD, METRIC, PROFILE, RESOURCE,
-    SCOPE, SPAN_EVENT, SPAN_RECORD, camel, packet_schema,
+    ANY_VALUE_INDEXED, BUCKETS, DICTIONARY, EXEMPLAR, KEY_VALUE, LOG_RECORD, METRIC, METRIC_KINDS, PROFILE, QUANTILE,
+    RESOURCE, SCOPE, SPAN_EVENT, SPAN_RECORD, STATUS, camel, packet_schema,
 )
 
 ORDERS_PER_PACKET = 1000
@@ -58,38 +58,39 @@ def id_bytes(n: Column, digits: int) -> Column:
     return F.unhex(F.lpad(F.hex(n), digits, "0"))
 
 
-def _resource(service: Column, key: str = "service.name") -> Column:
-    return F.struct(
-        F.array(make_attribute(key, "string_value", service)).alias("attributes"),
-        F.lit(0).alias("droppedAttributesCount"),
-        F.lit(None).alias("entityRefs"),
-    ).cast(RESOURCE)
+def _resource(service: Column) -> Column:
+    return typed_struct(RESOURCE, attributes=F.array(make_attribute("service.name", "string_value", service)),
+                        droppedAttributesCount=F.lit(0))
 
 
 def _scope(name: str) -> Column:
-    return F.struct(F.lit(name).alias("name"), F.lit("1.0").alias("version"),
-                    F.array().alias("attributes"), F.lit(0).alias("droppedAttributesCount")).cast(SCOPE)
+    return typed_struct(SCOPE, name=F.lit(name), version=F.lit("1.0"), attributes=no_items(KEY_VALUE),
+                        droppedAttributesCount=F.lit(0))
+
+
+def _fields(array: T.ArrayType) -> str:
+    return array.elementType.simpleString()
 
 
 def _packets(rows: DataFrame, key: list[str], order: list[str], signal: str, scope: str) -> DataFrame:
     """Group (resource, record) rows to packets of one resource and scope, between empty ones that give no rows."""
     root, scopes, records = {"logs": ("resourceLogs", "scopeLogs", "logRecords"),
                              "spans": ("resourceSpans", "scopeSpans", "spans")}[signal]
+    root_type = packet_schema(signal)[root].dataType
+    scope_type = root_type.elementType[scopes].dataType
     grouped = rows.groupBy(*key, "resource").agg(
         F.sort_array(F.collect_list(F.struct(*order, "record"))).alias("_records"))
-    empty_scope = F.struct(_scope("empty").alias("scope"), F.lit("").alias("schemaUrl"),
-                           F.array().alias(records))
-    scope_struct = F.struct(_scope(scope).alias("scope"), F.lit("").alias("schemaUrl"),
-                            F.transform("_records", lambda r: r["record"]).alias(records))
-    dtype = packet_schema(signal)[root].dataType
-    resource = F.struct(F.col("resource"), F.lit("").alias("schemaUrl"),
-                        F.array(empty_scope.cast(dtype.elementType[scopes].dataType.elementType),
-                                scope_struct.cast(dtype.elementType[scopes].dataType.elementType)).alias(scopes))
-    empty = F.lit(None).cast(dtype.elementType)
+
+    def scope_node(name: str, items: Column) -> Column:
+        return typed_struct(_fields(scope_type), scope=_scope(name), schemaUrl=F.lit(""), **{records: items})
+
+    none = F.array().cast(scope_type.elementType[records].dataType)
+    node = typed_struct(_fields(root_type), resource=F.col("resource"), schemaUrl=F.lit(""), **{scopes: F.array(
+        scope_node("empty", none), scope_node(scope, F.transform("_records", lambda r: r["record"])))})
     return grouped.select(
         F.lit(0).cast("bigint").alias("batch_timestamp"),
         F.concat_ws("/", F.lit(signal), *[F.col(k).cast("string") for k in key]).alias("batch_UUID"),
-        F.array(empty, resource.cast(dtype.elementType)).alias(root),
+        F.array(F.lit(None).cast(root_type.elementType), node).alias(root),
     )
 
 
@@ -118,35 +119,34 @@ def span_records(spark: SparkSession, sf: str) -> DataFrame:
     root = line == 0
     even = key % 2 == 0
     server = F.array(
-        F.struct(F.when(even, "http.method").otherwise("http.request.method").alias("key"),
-                 make_value("string_value", F.lit("POST")).alias("value")),
+        make_attribute(F.when(even, "http.method").otherwise("http.request.method"), "string_value", F.lit("POST")),
         make_attribute("http.status_code", "int_value",
                        F.when(F.col("status") == "F", 500).otherwise(200).cast("bigint")),
     )
     client = F.array(make_attribute("rpc.method", "string_value", F.lit("pick")),
                      make_attribute("rpc.system", "string_value", F.lit("grpc")))
-    event = F.struct(F.col("start").alias("time_unix_nano"), F.col("priority").alias("name"),
-                     F.array().alias("attributes"), F.lit(0).alias("dropped_attributes_count")).cast(SPAN_EVENT)
+    event = typed_struct(SPAN_EVENT, time_unix_nano=F.col("start"), name=F.col("priority"),
+                         attributes=no_items(KEY_VALUE), dropped_attributes_count=F.lit(0))
     code = (F.when(F.col("status") == "F", "STATUS_CODE_ERROR").when(F.col("status") == "O", "STATUS_CODE_OK")
             .otherwise("STATUS_CODE_UNSET"))
-    record = F.struct(
-        id_bytes(key + 1, 32).alias("traceId"),
-        id_bytes((key + 1) * 16 + line, 16).alias("spanId"),
-        F.lit("").alias("traceState"),
-        F.when(root, F.lit(b"")).otherwise(id_bytes((key + 1) * 16, 16)).alias("parentSpanId"),
-        F.lit(0).alias("flags"),
-        F.when(root, "place_order").otherwise(F.concat(F.lit("line_"), line.cast("string"))).alias("name"),
-        F.when(root, "SPAN_KIND_SERVER").otherwise("SPAN_KIND_CLIENT").alias("kind"),
-        F.col("start").alias("startTimeUnixNano"),
-        F.col("end").alias("endTimeUnixNano"),
-        F.when(root, server).otherwise(client).alias("attributes"),
-        F.lit(0).alias("droppedAttributesCount"),
-        F.when(root, F.array(event)).otherwise(F.array().cast(f"array<{SPAN_EVENT}>")).alias("events"),
-        F.lit(0).alias("droppedEventsCount"),
-        F.lit(None).alias("links"),
-        F.lit(0).alias("droppedLinksCount"),
-        F.struct(F.lit("").alias("message"), code.alias("code")).alias("status"),
-    ).cast(SPAN_RECORD)
+    record = typed_struct(
+        SPAN_RECORD,
+        traceId=id_bytes(key + 1, 32),
+        spanId=id_bytes((key + 1) * 16 + line, 16),
+        traceState=F.lit(""),
+        parentSpanId=F.when(root, F.lit(b"")).otherwise(id_bytes((key + 1) * 16, 16)),
+        flags=F.lit(0),
+        name=F.when(root, "place_order").otherwise(F.concat(F.lit("line_"), line.cast("string"))),
+        kind=F.when(root, "SPAN_KIND_SERVER").otherwise("SPAN_KIND_CLIENT"),
+        startTimeUnixNano=F.col("start"),
+        endTimeUnixNano=F.col("end"),
+        attributes=F.when(root, server).otherwise(client),
+        droppedAttributesCount=F.lit(0),
+        events=F.when(root, F.array(event)).otherwise(no_items(SPAN_EVENT)),
+        droppedEventsCount=F.lit(0),
+        droppedLinksCount=F.lit(0),
+        status=typed_struct(STATUS, message=F.lit(""), code=code),
+    )
     service = F.concat(F.lit("shop-"), (F.col("o_custkey") % 5).cast("string"))
     return roots.unionByName(children).select(
         "o_custkey", F.expr(f"o_orderkey div {ORDERS_PER_PACKET}").alias("part"), "o_orderkey", "line",
@@ -180,27 +180,26 @@ def log_records(spark: SparkSession, sf: str) -> DataFrame:
     event_id, kind, time = F.col("event_id"), F.col("event_type"), nanos(F.col("ts"))
     linked = kind != "click"
     is_view, is_error = kind == "view", kind == "error"
-    body = F.struct(
-        F.when(~is_view, kind).alias("string_value"), F.lit(None).alias("bool_value"),
-        F.when(is_view, F.floor("value")).alias("int_value"), F.lit(None).alias("double_value"),
-        F.lit(None).alias("array_value"), F.lit(None).alias("kvlist_value"), F.lit(None).alias("bytes_value"),
-        F.lit(None).alias("string_value_strindex"),
-    ).cast(ANY_VALUE_INDEXED)
-    record = F.struct(
-        time.alias("timeUnixNano"), (time + 1000).alias("observedTimeUnixNano"),
-        F.when(is_error, 17).otherwise(9).alias("severityNumber"),
-        F.when(is_error, "ERROR").otherwise("INFO").alias("severityText"),
-        body.alias("body"),
-        F.array(
+    body = typed_struct(ANY_VALUE_INDEXED, string_value=F.when(~is_view, kind),
+                        int_value=F.when(is_view, F.floor("value")))
+    record = typed_struct(
+        LOG_RECORD,
+        timeUnixNano=time,
+        observedTimeUnixNano=time + 1000,
+        severityNumber=F.when(is_error, 17).otherwise(9),
+        severityText=F.when(is_error, "ERROR").otherwise("INFO"),
+        body=body,
+        attributes=F.array(
             make_attribute("event.type", "string_value", kind),
             make_attribute("user.id", "int_value", F.col("user_id")),
             make_attribute("k", "int_value", F.get_json_object("props", "$.k").try_cast("bigint")),
-        ).alias("attributes"),
-        F.lit(0).alias("droppedAttributesCount"), F.lit(0).alias("flags"),
-        F.when(linked, id_bytes(event_id + 1, 32)).otherwise(F.lit(b"")).alias("traceId"),
-        F.when(linked, id_bytes((event_id + 1) * 16, 16)).otherwise(F.lit(b"")).alias("spanId"),
-        F.lit("").alias("eventName"),
-    ).cast(LOG_RECORD)
+        ),
+        droppedAttributesCount=F.lit(0),
+        flags=F.lit(0),
+        traceId=F.when(linked, id_bytes(event_id + 1, 32)).otherwise(F.lit(b"")),
+        spanId=F.when(linked, id_bytes((event_id + 1) * 16, 16)).otherwise(F.lit(b"")),
+        eventName=F.lit(""),
+    )
     service = F.concat(F.lit("shop-"), (F.col("user_id") % 5).cast("string"))
     return e.select(
         "user_id", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("day"),
@@ -269,57 +268,56 @@ def metric_packets(spark: SparkSession, sf: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("event_type", "hour", *[
             c for c in rows.columns if c not in ("service", "day", "event_type", "hour")]))).alias("rows"))
 
+    kind_types = {f.name: f.dataType for f in packet_schema("metrics")["resourceMetrics"].dataType.elementType[
+        "scopeMetrics"].dataType.elementType["metrics"].dataType.elementType.fields}
+
     def metric(name: str, **data: Column) -> Column:
-        fields = [F.lit(name).alias("name"), F.lit(f"{name} of the shop").alias("description"), F.lit("1").alias("unit"),
-                  F.array().alias("metadata")]
-        kinds = ("gauge", "sum", "histogram", "exponentialHistogram", "summary")
-        return F.struct(*fields, *[data.get(k, F.lit(None)).alias(k) for k in kinds]).cast(METRIC)
+        return typed_struct(METRIC, name=F.lit(name), description=F.lit(f"{name} of the shop"), unit=F.lit("1"),
+                            metadata=no_items(KEY_VALUE), **data)
 
-    def points(build, **kind) -> Column:
-        return F.struct(F.transform("rows", build).alias("dataPoints"), *[c.alias(n) for n, c in kind.items()])
+    def points(kind: str, build, **rest) -> Column:
+        """The data of a metric of some kind: a point per row. `build` gives the fields of a point beyond the common."""
+        ddl = METRIC_KINDS[kind][1]
 
-    def head(r: Column) -> list[Column]:
-        return [
-            F.array(make_attribute("event.type", "string_value", r["event_type"])).alias("attributes"),
-            nanos(F.date_trunc("day", r["hour"])).alias("startTimeUnixNano"),
-            (nanos(r["hour"]) + HOUR).alias("timeUnixNano"),
-            F.lit(0).alias("flags"),
-        ]
+        def point(r: Column) -> Column:
+            return typed_struct(
+                ddl,
+                attributes=F.array(make_attribute("event.type", "string_value", r["event_type"])),
+                startTimeUnixNano=nanos(F.date_trunc("day", r["hour"])),
+                timeUnixNano=nanos(r["hour"]) + HOUR,
+                flags=F.lit(0),
+                **build(r))
 
-    none = F.array().cast(f"array<{EXEMPLAR}>").alias("exemplars")
+        return typed_struct(kind_types[kind].simpleString(), dataPoints=F.transform("rows", point), **rest)
 
     def exemplar(r: Column) -> Column:
         linked = r["event_type"] != "click"
-        return F.array(F.struct(
-            F.array().alias("filtered_attributes"), r["x_at"].alias("time_unix_nano"),
-            F.lit(None).alias("as_double"), r["x_v"].alias("as_int"),
-            F.when(linked, id_bytes((r["x_id"] + 1) * 16, 16)).otherwise(F.lit(b"")).alias("span_id"),
-            F.when(linked, id_bytes(r["x_id"] + 1, 32)).otherwise(F.lit(b"")).alias("trace_id"),
-        ).cast(EXEMPLAR)).alias("exemplars")
+        return F.array(typed_struct(
+            EXEMPLAR, filtered_attributes=no_items(KEY_VALUE), time_unix_nano=r["x_at"], as_int=r["x_v"],
+            span_id=F.when(linked, id_bytes((r["x_id"] + 1) * 16, 16)).otherwise(F.lit(b"")),
+            trace_id=F.when(linked, id_bytes(r["x_id"] + 1, 32)).otherwise(F.lit(b""))))
 
     cumulative = F.lit("AGGREGATION_TEMPORALITY_CUMULATIVE")
     delta = F.lit("AGGREGATION_TEMPORALITY_DELTA")
-    gauge = points(lambda r: F.struct(*head(r), none, r["last"].alias("asDouble"), F.lit(None).alias("asInt")))
-    total = points(lambda r: F.struct(*head(r), none, F.lit(None).alias("asDouble"), r["cn"].alias("asInt")),
+    gauge = points("gauge", lambda r: {"exemplars": no_items(EXEMPLAR), "asDouble": r["last"]})
+    total = points("sum", lambda r: {"exemplars": no_items(EXEMPLAR), "asInt": r["cn"]},
                    aggregationTemporality=cumulative, isMonotonic=F.lit(True))
-    histogram = points(lambda r: F.struct(
-        *head(r), exemplar(r), r["cn"].alias("count"), r["cs"].cast("double").alias("sum"),
-        F.array(*[r[f"c{i}"] for i in range(len(BOUNDS) + 1)]).alias("bucketCounts"),
-        F.lit(list(BOUNDS)).alias("explicitBounds"),
-        r["clo"].cast("double").alias("min"), r["chi"].cast("double").alias("max")),
-        aggregationTemporality=cumulative)
-    exponential = points(lambda r: F.struct(
-        *head(r), none, r["n"].alias("count"), r["s"].cast("double").alias("sum"), F.lit(0).alias("scale"),
-        r["zero"].alias("zeroCount"),
-        F.struct(F.lit(0).alias("offset"), F.array(*[r[f"e{i}"] for i in range(EXP_BUCKETS)]).alias("bucket_counts"))
-        .alias("positive"),
-        F.lit(None).cast(BUCKETS).alias("negative"),
-        r["lo"].cast("double").alias("min"), r["hi"].cast("double").alias("max"), F.lit(1.0).alias("zeroThreshold")),
-        aggregationTemporality=delta)
-    summary = points(lambda r: F.struct(
-        *head(r), r["n"].alias("count"), r["s"].cast("double").alias("sum"),
-        F.array(F.struct(F.lit(0.0).alias("quantile"), r["lo"].cast("double").alias("value")),
-                F.struct(F.lit(1.0).alias("quantile"), r["hi"].cast("double").alias("value"))).alias("quantileValues")))
+    histogram = points("histogram", lambda r: {
+        "exemplars": exemplar(r), "count": r["cn"], "sum": r["cs"],
+        "bucketCounts": F.array(*[r[f"c{i}"] for i in range(len(BOUNDS) + 1)]),
+        "explicitBounds": F.lit(list(BOUNDS)), "min": r["clo"], "max": r["chi"],
+    }, aggregationTemporality=cumulative)
+    exponential = points("exponentialHistogram", lambda r: {
+        "exemplars": no_items(EXEMPLAR), "count": r["n"], "sum": r["s"], "scale": F.lit(0), "zeroCount": r["zero"],
+        "positive": typed_struct(BUCKETS, offset=F.lit(0),
+                                 bucket_counts=F.array(*[r[f"e{i}"] for i in range(EXP_BUCKETS)])),
+        "min": r["lo"], "max": r["hi"], "zeroThreshold": F.lit(1.0),
+    }, aggregationTemporality=delta)
+    summary = points("summary", lambda r: {
+        "count": r["n"], "sum": r["s"],
+        "quantileValues": F.array(typed_struct(QUANTILE, quantile=F.lit(0.0), value=r["lo"]),
+                                  typed_struct(QUANTILE, quantile=F.lit(1.0), value=r["hi"])),
+    })
 
     metrics = F.array(
         metric("app.untyped"),
@@ -329,14 +327,15 @@ def metric_packets(spark: SparkSession, sf: str) -> DataFrame:
         metric("app.value.exp", exponentialHistogram=exponential),
         metric("app.value.summary", summary=summary),
     )
-    scope = F.struct(_scope("app").alias("scope"), F.lit("").alias("schemaUrl"), metrics.alias("metrics"))
-    resource = F.struct(_resource(F.col("service")).alias("resource"), F.lit("").alias("schemaUrl"),
-                        F.array(scope).alias("scopeMetrics"))
     root = packet_schema("metrics")["resourceMetrics"].dataType
+    scope = typed_struct(_fields(root.elementType["scopeMetrics"].dataType), scope=_scope("app"),
+                         schemaUrl=F.lit(""), metrics=metrics)
+    node = typed_struct(_fields(root), resource=_resource(F.col("service")), schemaUrl=F.lit(""),
+                        scopeMetrics=F.array(scope))
     return packet.select(
         F.lit(0).cast("bigint").alias("batch_timestamp"),
         F.concat_ws("/", F.lit("metrics"), "service", F.date_format("day", "yyyy-MM-dd")).alias("batch_UUID"),
-        F.array(F.lit(None).cast(root.elementType), resource.cast(root.elementType)).alias("resourceMetrics"),
+        F.array(F.lit(None).cast(root.elementType), node).alias("resourceMetrics"),
     )
 
 

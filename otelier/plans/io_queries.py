@@ -19,7 +19,7 @@ from otelier.sources.flat import (
     SMALL_FILES, read_flat, read_hourly, read_signal, run_metadata, with_event_time, with_run_metadata, write_all,
     write_flat, write_hourly, write_prepared,
 )
-from otelier.sources.packets import read_packets, rejected, stream_packets
+from otelier.sources.packets import read_packets, stream_packets
 from otelier.streaming.pipelines import stream_dedup, stream_rows, write_stream
 
 LOG_SQL = """
@@ -71,8 +71,9 @@ SELECT CAST(count(DISTINCT batch) AS BIGINT) AS parsed, CAST(1 AS BIGINT) AS rej
   '{"resourceLogs": [{' AS payload FROM logs""", LOGS)
 def rejected_packets(spark, sf):
     packets = read_packets(spark, "logs", write_packets(spark, sf, "logs", broken=True))
-    bad = rejected(packets).agg(F.count(F.lit(1)).alias("rejected"), F.min("corrupt_record").alias("payload"))
-    return bad.crossJoin(packets.filter("corrupt_record IS NULL").agg(F.count(F.lit(1)).alias("parsed")))
+    lost = F.col("corrupt_record")
+    return packets.agg(F.count_if(lost.isNull()).alias("parsed"), F.count_if(lost.isNotNull()).alias("rejected"),
+                       F.min("corrupt_record").alias("payload"))
 
 
 @query("src_dispatch", " UNION ALL ".join(

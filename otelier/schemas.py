@@ -251,8 +251,9 @@ ENUMS = {
 
 @lru_cache
 def struct(ddl: str) -> T.StructType:
-    """The StructType of a DDL text (needs a running session)."""
-    return T.StructType.fromDDL(ddl)
+    """The StructType of a DDL text: a list of fields or STRUCT<...> (needs a running session)."""
+    parsed = T._parse_datatype_string(ddl)
+    return parsed
 
 
 def flat_schema(signal: str) -> T.StructType:
