@@ -108,9 +108,9 @@ def dict_schema(depth: int) -> str:
 
 
 def json_scalar(x: Column) -> Column:
-    """One value as JSON, quoted and escaped where JSON wants it."""
-    in_list = F.to_json(F.array(x))
-    return F.when(x.isNotNull(), F.substr(in_list, F.lit(2), F.length(in_list) - 2))
+    """One value as JSON, quoted and escaped where JSON wants it; null stays null."""
+    # the text of a one-element list without its brackets; a JSON scalar never ends in a bracket itself
+    return F.when(x.isNotNull(), F.rtrim(F.substr(F.to_json(F.array(x)), F.lit(2)), F.lit("]")))
 
 
 def json_object(entries: Column) -> Column:
