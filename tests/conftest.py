@@ -10,12 +10,13 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from otelier.session import build_session
 
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
+        spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
