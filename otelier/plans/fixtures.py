@@ -78,7 +78,8 @@ def _packets(rows: DataFrame, key: list[str], order: list[str], signal: str, sco
                              "spans": ("resourceSpans", "scopeSpans", "spans")}[signal]
     root_type = packet_schema(signal)[root].dataType
     scope_type = root_type.elementType[scopes].dataType
-    grouped = rows.groupBy(*key, "resource").agg(
+    grouped = rows.groupBy(*key).agg(
+        F.any_value("resource").alias("resource"),
         F.sort_array(F.collect_list(F.struct(*order, "record"))).alias("_records"))
 
     def scope_node(name: str, items: Column) -> Column:
