@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from otelier.functions.expressions import let
 from otelier.schemas import ENUMS, camel, packet_schema, wire_schema
 
 CORRUPT = "corrupt_record"
@@ -51,21 +52,22 @@ def parse_packets(raw: DataFrame, signal: str, id_encoding: str = "base64") -> D
     """
     schema = packet_schema(signal)
     wire = wire_schema(schema).add(CORRUPT, T.StringType())
-    parsed = raw.select(
+
+    def convert(wire_packet: Column) -> Column:
+        fits = wire_packet[CORRUPT].isNull()
+        return F.struct(
+            *[F.when(fits, _conform(wire_packet[f.name], f.dataType, f.name, id_encoding)).alias(f.name)
+              for f in schema.fields],
+            wire_packet[CORRUPT].alias(CORRUPT),
+        )
+
+    # one expression from text to typed packet: parsed once, and converted before it is written to a row
+    parsed = F.from_json("payload", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return raw.select(
         "batch_timestamp",
         F.md5(F.concat_ws("|", "position", "payload")).alias("batch_UUID"),
-        F.from_json("payload", wire.simpleString(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        .alias("_wire"),
-    )
-    fits = F.col(f"_wire.{CORRUPT}").isNull()
-    return parsed.select(
-        "batch_timestamp", "batch_UUID",
-        *[
-            F.when(fits, _conform(F.col(f"_wire.{f.name}"), f.dataType, f.name, id_encoding)).alias(f.name)
-            for f in schema.fields
-        ],
-        F.col(f"_wire.{CORRUPT}").alias(CORRUPT),
-    )
+        let(parsed, convert).alias("_packet"),
+    ).select("batch_timestamp", "batch_UUID", "_packet.*")
 
 
 def accepted(packets: DataFrame) -> DataFrame:
