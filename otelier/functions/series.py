@@ -7,38 +7,45 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from otelier.functions.expressions import NANOS_PER_HOUR, column, quoted
 
 
+DAY = 24 * NANOS_PER_HOUR
+
+
 def with_previous(
-    df: DataFrame, series: list[str], time: str, values: list[str], slice_nanos: int | None = 24 * NANOS_PER_HOUR,
+    df: DataFrame, series: list[str], time: str, values: list[str], slices: tuple[int, ...] = (DAY,),
 ) -> DataFrame:
     """Add `_previous`: struct of `time` and `values` of the preceding point of the same series, null on the first.
 
     Points are ordered by time, ties by the values. A plain `lag` would sort a whole series in one task, and one
     series may hold a third of all rows. So the lag runs per (series, time slice), and only the two border points
-    of each slice go into a second lag over the series, which gives the first point of a slice its predecessor.
-    `slice_nanos=None` uses one plain lag, for series known to be short.
+    of each slice go into a second lag, which gives the first point of a slice its predecessor.
+
+    `slices` are the widths in nanoseconds, from narrow to wide: choose the first so that one slice of the densest
+    series fits a task; with more widths the border points are sliced again. Without any, one plain lag is used.
     """
     order = [column(time), *[column(v) for v in values]]
     point = F.struct(*[column(c).alias(c) for c in (time, *values)])
     keys = [column(s) for s in series]
-    if slice_nanos is None:
+    if not slices:
         return df.withColumn("_previous", F.lag(point).over(Window.partitionBy(*keys).orderBy(*order)))
 
+    width, *wider = slices
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
     points = (
-        df.withColumn("_slice", F.expr(f"{quoted(time)} div {slice_nanos}"))
+        df.withColumn("_slice", F.expr(f"{quoted(time)} div {width}"))
         .withColumn("_previous", F.lag(point).over(in_slice))
         .withColumn("_last", F.lead(F.lit(1)).over(in_slice).isNull())
+        .drop("_slice")
     )
-    inner = points.filter(F.col("_previous").isNotNull())
+    inner = points.filter(F.col("_previous").isNotNull()).drop("_last")
     # at most two points per series and slice
-    border = points.filter(F.col("_previous").isNull() | F.col("_last"))
-    first = (
-        border.withColumn("_first", F.col("_previous").isNull())
-        .withColumn("_previous", F.lag(point).over(Window.partitionBy(*keys).orderBy("_slice", *order)))
-        .filter("_first")
-        .drop("_first")
+    opens = f"_opens{len(wider)}"
+    border = (
+        points.filter(F.col("_previous").isNull() | F.col("_last"))
+        .withColumn(opens, F.col("_previous").isNull())
+        .drop("_previous", "_last")
     )
-    return inner.unionByName(first).drop("_slice", "_last")
+    first = with_previous(border, series, time, values, tuple(wider)).filter(opens).drop(opens)
+    return inner.unionByName(first)
 
 
 def delta(value: str) -> Column:

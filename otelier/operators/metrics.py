@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from otelier.functions.anyvalue import any_value, last_value
-from otelier.functions.expressions import NANOS_PER_HOUR, column
+from otelier.functions.expressions import column
 from otelier.functions.histograms import exp_hist_buckets, hist_buckets, histogram_statistics
-from otelier.functions.series import delta, with_previous
+from otelier.functions.series import DAY, delta, with_previous
 from otelier.operators.relational import group_sum
 
-DAY = 24 * NANOS_PER_HOUR
 START, TIME = "start_time_unix_nano", "time_unix_nano"
 
 # ---------------------------------------------------------------- identity and values
@@ -87,15 +86,15 @@ def first_session(df: DataFrame) -> DataFrame:
     return df.join(first, "emitter").filter(F.col(START) == F.col("_first")).drop("_first")
 
 
-def sum_delta(sums: DataFrame, slice_nanos: int | None = DAY) -> DataFrame:
+def sum_delta(sums: DataFrame, slices: tuple[int, ...] = (DAY,)) -> DataFrame:
     """Cumulative sums to differences (`sum_delta`) inside a session: a reset starts from zero again."""
-    points = with_previous(sums, ["emitter", START], TIME, ["sum_int"], slice_nanos)
+    points = with_previous(sums, ["emitter", START], TIME, ["sum_int"], slices)
     return points.withColumn("sum_delta", delta("sum_int")).drop("_previous")
 
 
-def sum_delta_naive(sums: DataFrame, slice_nanos: int | None = DAY) -> DataFrame:
+def sum_delta_naive(sums: DataFrame, slices: tuple[int, ...] = (DAY,)) -> DataFrame:
     """The same over a whole emitter: differences are wrong where a session ends. For comparison only."""
-    points = with_previous(sums, ["emitter"], TIME, ["sum_int"], slice_nanos)
+    points = with_previous(sums, ["emitter"], TIME, ["sum_int"], slices)
     return points.withColumn("sum_delta", delta("sum_int")).drop("_previous")
 
 
@@ -106,7 +105,7 @@ def session_gaps(df: DataFrame, series: list[str]) -> DataFrame:
     """
     sessions = df.groupBy(*[column(c) for c in series], START).agg(
         F.min(TIME).alias("first_time"), F.max(TIME).alias("last_time"), F.count(F.lit(1)).alias("points"))
-    chained = with_previous(sessions, series, START, ["last_time"], slice_nanos=365 * DAY)
+    chained = with_previous(sessions, series, START, ["last_time"], (365 * DAY,))
     return (
         chained.filter(F.col("_previous").isNotNull())
         .withColumn("previous_start", F.col("_previous")[START])
@@ -137,16 +136,16 @@ def hist_series(df: DataFrame, name: str, attributes: list[str]) -> DataFrame:
         *[column(a) for a in attributes], "population_stat", START, TIME)
 
 
-def hist_stat_delta(exploded: DataFrame, series: list[str], slice_nanos: int | None = DAY) -> DataFrame:
+def hist_stat_delta(exploded: DataFrame, series: list[str], slices: tuple[int, ...] = (DAY,)) -> DataFrame:
     """Differences of one statistic over time; `series` are the identity columns besides session and statistic."""
-    points = with_previous(exploded, [*series, START, "population_stat"], TIME, ["value"], slice_nanos)
+    points = with_previous(exploded, [*series, START, "population_stat"], TIME, ["value"], slices)
     return points.withColumn("value_delta", delta("value")).drop("_previous")
 
 
-def hist_interval_mean(df: DataFrame, series: list[str], slice_nanos: int | None = DAY) -> DataFrame:
+def hist_interval_mean(df: DataFrame, series: list[str], slices: tuple[int, ...] = (DAY,)) -> DataFrame:
     """Mean per interval: difference of sums / difference of counts, null for an interval without events."""
     points = df.filter(F.col("type") == "HISTOGRAM")
-    points = with_previous(points, [*series, START], TIME, ["histogram_sum", "histogram_count"], slice_nanos)
+    points = with_previous(points, [*series, START], TIME, ["histogram_sum", "histogram_count"], slices)
     return points.withColumn(
         "interval_mean", delta("histogram_sum") / F.nullif(delta("histogram_count"), F.lit(0))).drop("_previous")
 
@@ -184,14 +183,14 @@ def metric_exploded(df: DataFrame) -> DataFrame:
     return df.select(*[column(c) for c in base], F.inline(values))
 
 
-def value_delta(exploded: DataFrame, series: list[str] | None = None, slice_nanos: int | None = DAY) -> DataFrame:
+def value_delta(exploded: DataFrame, series: list[str] | None = None, slices: tuple[int, ...] = (DAY,)) -> DataFrame:
     """`value_delta` and `prev_time_unix_nano` per series, in order of time; first point: the value itself and 0.
 
     A series is what shares all columns but time and value, unless `series` names the columns.
     """
     if series is None:
         series = [c for c in exploded.columns if c not in (TIME, "value")]
-    points = with_previous(exploded, series, TIME, ["value"], slice_nanos)
+    points = with_previous(exploded, series, TIME, ["value"], slices)
     return (
         points.withColumn("value_delta", delta("value"))
         .withColumn("prev_time_unix_nano", F.coalesce(F.col("_previous")[TIME], F.lit(0)))

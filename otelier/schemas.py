@@ -252,8 +252,7 @@ ENUMS = {
 @lru_cache
 def struct(ddl: str) -> T.StructType:
     """The StructType of a DDL text: a list of fields or STRUCT<...> (needs a running session)."""
-    parsed = T._parse_datatype_string(ddl)
-    return parsed
+    return T._parse_datatype_string(ddl)
 
 
 def flat_schema(signal: str) -> T.StructType:
@@ -268,12 +267,22 @@ def camel(name: str) -> str:
     return re.sub(r"_(\w)", lambda m: m.group(1).upper(), name)
 
 
-def wire_schema(dtype: T.DataType) -> T.DataType:
-    """JSON form of a packet type: camelCase names; integers and bytes arrive as text (or as a number, read as text)."""
+# ids that the hex flavour of the JSON encoding writes in hex; other bytes are always base64
+ID_FIELDS = ("traceId", "spanId", "parentSpanId", "profileId")
+
+
+def wire_schema(dtype: T.DataType, id_encoding: str = "base64", name: str = "") -> T.DataType:
+    """JSON form of a packet type: camelCase names; integers arrive as text (or as a number, read as text).
+
+    Bytes in base64 are decoded by the JSON parser; hex ids are text.
+    """
     if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(camel(f.name), wire_schema(f.dataType)) for f in dtype.fields])
+        return T.StructType([
+            T.StructField(camel(f.name), wire_schema(f.dataType, id_encoding, camel(f.name))) for f in dtype.fields])
     if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(wire_schema(dtype.elementType))
-    if isinstance(dtype, (T.IntegerType, T.LongType, T.BinaryType)):
+        return T.ArrayType(wire_schema(dtype.elementType, id_encoding, name))
+    if isinstance(dtype, (T.IntegerType, T.LongType)):
+        return T.StringType()
+    if isinstance(dtype, T.BinaryType) and id_encoding == "hex" and name in ID_FIELDS:
         return T.StringType()
     return dtype

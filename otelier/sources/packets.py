@@ -9,10 +9,6 @@ from otelier.schemas import ENUMS, camel, packet_schema, wire_schema
 
 CORRUPT = "corrupt_record"
 
-# ids that the hex flavour of the JSON encoding writes in hex; other bytes are always base64
-_ID_FIELDS = {"traceId", "spanId", "parentSpanId", "trace_id", "span_id", "profileId"}
-
-
 def _enum_name(value: Column, names: tuple[str, ...]) -> Column:
     """Enum by name or by number, as the name."""
     return F.coalesce(F.get(F.lit(list(names)), value.try_cast("int")), value)
@@ -32,14 +28,13 @@ def _conform(col: Column, dtype: T.DataType, name: str, id_encoding: str) -> Col
         fields = [_conform(col[camel(f.name)], f.dataType, f.name, id_encoding).alias(f.name) for f in dtype.fields]
         return F.when(col.isNotNull(), F.struct(*fields))
     if isinstance(dtype, T.ArrayType):
-        if wire_schema(dtype) == dtype:
+        if wire_schema(dtype, id_encoding, camel(name)) == dtype:
             return col
         return F.transform(col, lambda x: _conform(x, dtype.elementType, name, id_encoding))
     if isinstance(dtype, (T.IntegerType, T.LongType)):
         return col.try_cast(dtype)
-    if isinstance(dtype, T.BinaryType):
-        encoding = id_encoding if name in _ID_FIELDS else "base64"
-        return F.try_to_binary(col, F.lit(encoding))
+    if wire_schema(dtype, id_encoding, camel(name)) != dtype:
+        return F.try_to_binary(col, F.lit("hex"))
     return col
 
 
@@ -51,7 +46,7 @@ def parse_packets(raw: DataFrame, signal: str, id_encoding: str = "base64") -> D
     The packet id hashes source position and payload: the same packet gets the same id when a task runs again.
     """
     schema = packet_schema(signal)
-    wire = wire_schema(schema).add(CORRUPT, T.StringType())
+    wire = wire_schema(schema, id_encoding).add(CORRUPT, T.StringType())
 
     def convert(wire_packet: Column) -> Column:
         fits = wire_packet[CORRUPT].isNull()

@@ -216,3 +216,17 @@ def test_outcome_and_counters(spark):
     outcome = packet_outcome(rows, "profiles")
     assert rows_of(outcome, "rows", "rejected", "error_message") == [(1, 0, None), (6, 2, BAD_VALUES)]
     assert tuple(ingest_counters(outcome, "profiles").first()) == ("profiles", 7, 2, 1, 1)
+
+
+def test_counts_on_the_side(spark):
+    from pyspark.sql import Observation
+
+    from otelier.operators.flatten import observe_metrics_packets
+    from otelier.operators.packets import observe_rows
+
+    packet = tree("metrics", [[{"name": "no type"}, GAUGE, {"name": "none either"}]], [[GAUGE]])
+    before, after = Observation("packets"), Observation("rows")
+    seen = observe_metrics_packets(packets(spark, "metrics", packet, {}), before)
+    assert len(observe_rows(flatten_metrics(seen), after).collect()) == 2
+    assert before.get == {"packets": 2, "untyped_metrics": 2}
+    assert after.get == {"request_items": 2, "dropped_request_items": 0}

@@ -126,14 +126,14 @@ def expected_previous(rows, series, time):
     return out
 
 
-@pytest.mark.parametrize("slice_nanos", [None, 1, 7, 50, 10_000])
-def test_previous_point_does_not_depend_on_slices(spark, slice_nanos):
+@pytest.mark.parametrize("slices", [(), (1,), (7,), (10_000,), (7, 50), (3, 11, 200)])
+def test_previous_point_does_not_depend_on_slices(spark, slices):
     random.seed(4)
     # a hot series with most points, ties in time, a null key, and sparse series that skip slices
     rows = [{"id": i, "k": random.choice(["hot"] * 6 + ["a", "b", None]), "t": random.choice([0, 3, *range(0, 900, 11)]),
              "v": random.randint(0, 10 ** 6)} for i in range(600)]
     df = spark.createDataFrame(rows, "id int, k string, t bigint, v bigint")
-    got = with_previous(df, ["k"], "t", ["v"], slice_nanos).collect()
+    got = with_previous(df, ["k"], "t", ["v"], slices).collect()
     assert {r["id"]: r["_previous"] and tuple(r["_previous"]) for r in got} == expected_previous(rows, ["k"], "t")
     assert len(got) == len(rows)
 

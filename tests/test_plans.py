@@ -70,7 +70,7 @@ def test_copies_are_combined_before_the_shuffle(spark):
 def test_series_windows_are_sliced(spark):
     hot = (F.col("id") % 3 == 7).cast("string").alias("k")
     df = spark.range(1000).select(hot, F.col("id").alias("t"), F.col("id").alias("v")).repartition(4)
-    sliced = with_previous(df, ["k"], "t", ["v"], 10)
+    sliced = with_previous(df, ["k"], "t", ["v"], (10,))
     assert len(sliced.collect()) == 1000
     plan = plan_of(sliced)
     # the points are shuffled once, by series and slice, and both branches read that shuffle
