@@ -57,6 +57,15 @@ def or_empty(array: Column) -> Column:
     return F.coalesce(array, F.array())
 
 
+def compute_once(df: DataFrame, keep: list, value: Column, name: str) -> DataFrame:
+    """Add an expensive struct whose fields are then used one by one, such as a JSON parse.
+
+    As a plain projection Catalyst would turn each used field into an expression of its own and repeat the work. It
+    does not look into a generator, so the value goes through one: an array of one element, exploded.
+    """
+    return df.select(*keep, F.explode_outer(F.array(value)).alias(name))
+
+
 def explode_level(df: DataFrame, keep: list, array: str, position: str, element: str) -> DataFrame:
     """One row per element of `array` with its position; rows without elements go.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from otelier.functions.anyvalue import any_value, attributes_json, last_value, to_map
-from otelier.functions.expressions import column
+from otelier.functions.expressions import column, compute_once
 from otelier.operators.attributes import (
     attribute_keys, drop_empty_columns, drop_empty_rows, fill_blank, first_attribute, json_value, native_types,
     split_columns, to_json_map, to_number, widen, widen_all, with_attribute,
@@ -67,18 +67,20 @@ SELECT CAST(time_ns AS VARCHAR) AS time, CAST(severity_number AS VARCHAR) AS sev
 FROM logs""", LOGS)
 def row_json(spark, sf):
     logs = fixtures.logs(spark, sf)
-    rows = logs.select(to_json_map(logs, "logs").alias("j"), to_json_map(logs, "logs", with_defaults=True).alias("d"))
-
-    def at(col, path, out):
-        return F.get_json_object(col, path).alias(out)
-
+    short = ("time_unix_nano STRING, severity_number STRING, attributes MAP<STRING, STRING>, "
+             "resource_attributes MAP<STRING, STRING>, flags STRING, body_string STRING, trace_id BINARY")
+    filled = "flags STRING, body_double STRING, is_valid STRING"
+    rows = compute_once(logs, [], F.struct(
+        F.from_json(to_json_map(logs, "logs"), short).alias("j"),
+        F.from_json(to_json_map(logs, "logs", with_defaults=True), filled).alias("d")), "_row").select("_row.*")
     return rows.select(
-        at("j", "$.time_unix_nano", "time"), at("j", "$.severity_number", "severity"),
-        at("j", "$.attributes['event.type']", "event_type"),
-        at("j", "$.resource_attributes['service.name']", "service"), at("j", "$.attributes.k", "k"),
-        at("j", "$.flags", "flags"), at("j", "$.body_string", "body"),
-        F.length(F.unbase64(F.get_json_object("j", "$.trace_id"))).cast("bigint").alias("id_bytes"),
-        at("d", "$.flags", "default_flags"), at("d", "$.body_double", "default_double"), at("d", "$.is_valid", "is_valid"))
+        F.col("j.time_unix_nano").alias("time"), F.col("j.severity_number").alias("severity"),
+        F.col("j.attributes")["event.type"].alias("event_type"),
+        F.col("j.resource_attributes")["service.name"].alias("service"), F.col("j.attributes")["k"].alias("k"),
+        F.col("j.flags").alias("flags"), F.col("j.body_string").alias("body"),
+        F.length("j.trace_id").cast("bigint").alias("id_bytes"),
+        F.col("d.flags").alias("default_flags"), F.col("d.body_double").alias("default_double"),
+        F.col("d.is_valid").alias("is_valid"))
 
 
 @query("dims_measures", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from otelier.functions.expressions import let
+from otelier.functions.expressions import compute_once, let
 from otelier.schemas import ENUMS, camel, packet_schema, wire_schema
 
 CORRUPT = "corrupt_record"
@@ -58,11 +58,9 @@ def parse_packets(raw: DataFrame, signal: str, id_encoding: str = "base64") -> D
 
     # one expression from text to typed packet: parsed once, and converted before it is written to a row
     parsed = F.from_json("payload", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return raw.select(
-        "batch_timestamp",
-        F.md5(F.concat_ws("|", "position", "payload")).alias("batch_UUID"),
-        let(parsed, convert).alias("_packet"),
-    ).select("batch_timestamp", "batch_UUID", "_packet.*")
+    packet_id = F.md5(F.concat_ws("|", "position", "payload")).alias("batch_UUID")
+    return compute_once(raw, ["batch_timestamp", packet_id], let(parsed, convert), "_packet").select(
+        "batch_timestamp", "batch_UUID", "_packet.*")
 
 
 def accepted(packets: DataFrame) -> DataFrame:

@@ -45,7 +45,10 @@ def test_flattening_does_not_shuffle(spark, tmp_path):
 def test_packets_are_parsed_once(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.createDataFrame([("{}",)], "value string").write.text(path)
-    assert plan_of(read_signal(spark, "logs", "raw", path)).count("from_json(") == 1
+    for signal in ("logs", "spans", "metrics"):
+        assert plan_of(read_signal(spark, signal, "raw", path)).count("from_json(StructField(resource") == 1
+    # attribute values that hold JSON text are parsed too, hence the pattern
+    assert plan_of(read_signal(spark, "profiles", "raw", path)).count("from_json(StructField(resource") == 1
 
 
 def test_derived_packets_use_one_shuffle(spark, sf):
