@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from otelier.plans.registry import ORACLES, QUERIES
 from run_queries import TABLES, canonical
 
 WRITING = {"src_flat", "src_raw_json", "src_raw_json_rejected", "src_dispatch", "src_stream", "snk_flat", "snk_hourly",
@@ -19,10 +20,11 @@ def db(sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sf, db, name):
     df = entry.queries()[name](spark, sf)
     got = [tuple(r) for r in df.collect()]
