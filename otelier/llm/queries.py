@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
+from otelier.llm import line_dedup
 from otelier.llm.packing import pack_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_line_dedup", line_dedup.ORACLE)
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
