@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
 from otelier.llm import line_dedup
+from otelier.llm.jaccard import similar_components
 from otelier.llm.packing import pack_documents
+from otelier.llm.shipping import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +19,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(plan: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = plan
+        QUERIES[name] = lambda spark, sf: plan(reachable(spark), sf)
         if sql is not None:
             ORACLES[name] = sql.strip()
         return plan
@@ -40,6 +42,11 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_components(table(spark, sf, "documents"), size=4, percent=85)
+
+
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encoding_digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
