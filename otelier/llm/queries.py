@@ -11,6 +11,7 @@ from otelier.llm.bpe import encoding_digests
 from otelier.llm import line_dedup
 from otelier.llm.jaccard import similar_components
 from otelier.llm.packing import pack_documents
+from otelier.llm.quality import quality_scores
 from otelier.llm.shipping import reachable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,11 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("body")
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
