@@ -11,6 +11,7 @@ from otelier.llm.bpe import encoding_digests
 from otelier.llm import line_dedup
 from otelier.llm.jaccard import similar_components
 from otelier.llm.packing import pack_documents
+from otelier.llm.pii import anonymise, secret_key
 from otelier.llm.quality import quality_scores
 from otelier.llm.shipping import reachable
 
@@ -43,6 +44,11 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("body")
 
 
+@query("op6_pii_surrogates")
+def op6_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    return anonymise(table(spark, sf, "documents").select("doc_id", "text"), secret_key(spark))
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
