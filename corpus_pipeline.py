@@ -2,32 +2,66 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from otelier.llm.jaccard import similar_components
+from otelier.llm.line_dedup import dedup_lines
 from otelier.llm.packing import pack_documents
+from otelier.llm.pii import anonymise, secret_key
+from otelier.llm.quality import keep_good, quality_scores
+from otelier.llm.shipping import reachable
+from otelier.llm.staging import staged
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    scores = quality_scores(docs, reachable(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return keep_good(docs, scores)
+
+
+def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go."""
+    return dedup_lines(docs).select(docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of similar documents the one with the smallest id stays, once. Rows without an id stay."""
+    reachable(spark)
+    groups = similar_components(docs.select("doc_id", "text"), size=5, percent=80)
+    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars")
+    kept = kept.withColumn("__n", F.row_number().over(same))
+    return kept.where("__n = 1 OR doc_id IS NULL").drop("__n")
+
+
+def private_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes surrogates."""
+    return anonymise(docs, secret_key(reachable(spark))).select(docs.columns)
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 4096 tokens."""
+    reachable(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality classifier", good_documents),
+    ("line dedup", unique_lines),
+    ("n-gram Jaccard join", distinct_documents),
+    ("PII", private_documents),
+    ("packing", packed_sequences),
+]
 
 #: Tokenizing and packing cannot be written in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to `documents`; tables between stages go to the shared checkpoint folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    """Apply the stages to `documents`; the tables between them go to the shared checkpoint folder."""
+    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        path = f"{base.rstrip('/')}/pipeline-{name.replace(' ', '-')}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
