@@ -14,6 +14,7 @@ from otelier.llm.packing import pack_documents
 from otelier.llm.pii import anonymise, secret_key
 from otelier.llm.quality import quality_scores
 from otelier.llm.shipping import reachable
+from otelier.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +45,11 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("body")
 
 
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op6_pii_surrogates")
 def op6_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
     return anonymise(table(spark, sf, "documents").select("doc_id", "text"), secret_key(spark))
