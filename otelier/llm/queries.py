@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
-from otelier.llm import line_dedup
+from otelier.llm import bit_sliced, line_dedup
 from otelier.llm.jaccard import similar_components
 from otelier.llm.packing import pack_documents
 from otelier.llm.pii import anonymise, secret_key
@@ -60,6 +60,11 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op8_bit_sliced_topk", bit_sliced.ORACLE)
+def op8_bit_sliced_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return bit_sliced.top_inner_products(table(spark, sf, "embeddings"), k=5, every=50)
+
+
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_components(table(spark, sf, "documents"), size=4, percent=85)
