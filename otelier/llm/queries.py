@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
-from otelier.llm import bit_sliced, line_dedup
+from otelier.llm import bit_sliced, graph_search, line_dedup
 from otelier.llm.jaccard import similar_components
 from otelier.llm.packing import pack_documents
 from otelier.llm.pii import anonymise, secret_key
@@ -45,6 +45,11 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("body")
 
 
+@query("op4_graph_neighbours")
+def op4_graph_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return graph_search.nearest(table(spark, sf, "embeddings"), k=20, every=20)
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
