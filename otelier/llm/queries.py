@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from otelier.llm.bpe import encoding_digests
 from otelier.llm import bit_sliced, graph_search, line_dedup
 from otelier.llm.jaccard import similar_components
+from otelier.llm.licenses import scan_licenses
 from otelier.llm.packing import pack_documents
 from otelier.llm.pii import anonymise, secret_key
 from otelier.llm.quality import quality_scores
@@ -40,6 +41,11 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_licenses(table(spark, sf, "documents"))
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("body")
