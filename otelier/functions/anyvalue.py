@@ -280,5 +280,7 @@ def with_defaults(attributes: Column, defaults: str) -> Column:
                      value=make_value("string_value", F.lit(p[1])) if len(p) > 1 else make_value())
         for p in pairs
     ])
-    return F.map_entries(F.map_from_entries(F.concat(added, F.coalesce(attributes, no_items(KEY_VALUE)))))
+    # a received attribute without key has the key ""
+    received = F.transform(F.coalesce(attributes, no_items(KEY_VALUE)), lambda kv: kv.withField("key", F.coalesce(kv["key"], F.lit(""))))
+    return F.map_entries(F.map_from_entries(F.concat(added, received)))
 

@@ -32,18 +32,9 @@ def attribute_keys(df: DataFrame, col: str) -> DataFrame:
     return df.select(F.explode(F.transform(col, lambda kv: kv["key"])).alias("key")).distinct()
 
 
-def widen(df: DataFrame, col: str, prefix: str | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Add one text column per attribute key, named prefix + key.
-
-    Give the keys: without them a job runs first to find those present. The number of keys is the number of
-    columns, so it is bounded by what a table can have; more than 10,000 is an error rather than a wide plan.
-    """
+def widen(df: DataFrame, col: str, keys: list[str], prefix: str | None = None) -> DataFrame:
+    """Add one text column per named attribute key, called prefix + key. `attribute_keys` lists the keys there are."""
     prefix = PREFIXES.get(col, "") if prefix is None else prefix
-    if keys is None:
-        found = attribute_keys(df, col).orderBy("key").limit(10_001).collect()
-        if len(found) > 10_000:
-            raise ValueError(f"{col} has more than 10,000 keys; name the ones to widen")
-        keys = [r["key"] for r in found]
     with_map = df.withColumn("_map", text_map(F.col(col)))
     return with_map.select(*[column(c) for c in df.columns], *[F.col("_map")[k].alias(prefix + k) for k in keys])
 

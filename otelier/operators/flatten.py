@@ -13,7 +13,7 @@ from otelier.functions.anyvalue import value_branch, with_defaults
 from otelier.functions.expressions import default_for, explode_level, or_empty, running_totals
 from otelier.schemas import METRIC_KINDS, NULLABLE, flat_schema
 
-BAD_BUCKETS = "Illegal metric bucket array sizes"
+BAD_BUCKETS = "bucket bounds and counts of a histogram do not fit together"
 
 RESOURCE_COLUMNS = ("resource_attributes", "resource_dropped_attributes_count", "resource_entity_refs",
                     "resource_schema_url")

@@ -74,10 +74,17 @@ def gauge_series(df: DataFrame, name: str, **where) -> DataFrame:
 # ---------------------------------------------------------------- sums
 
 
-def sum_by_emitter(df: DataFrame, name: str, by_session: bool = True) -> DataFrame:
-    """Sum of the sub-series of a metric per emitter (and session) and time, as `sum_int`."""
+def sum_by_emitter(df: DataFrame, name: str, by_session: bool = True, value: str = "sum_int") -> DataFrame:
+    """Sum of the sub-series of a metric per emitter (and session) and time.
+
+    `sum_int` adds whole numbers exactly and is null where a point is a double; `sum_value` adds all points as doubles.
+    """
     keys = ["emitter", START, TIME] if by_session else ["emitter", TIME]
-    return group_sum(df.filter(F.col("name") == name), keys, "sum_int")
+    points = df.filter(F.col("name") == name)
+    if value == "sum_value":
+        return group_sum(points.withColumn("sum_value", number_value()), keys, "sum_value")
+    exact = F.when(F.count_if(F.col("sum_type") == "AS_DOUBLE") == 0, F.sum("sum_int"))
+    return points.groupBy(*keys).agg(exact.alias("sum_int"))
 
 
 def first_session(df: DataFrame) -> DataFrame:
@@ -86,16 +93,16 @@ def first_session(df: DataFrame) -> DataFrame:
     return df.join(first, "emitter").filter(F.col(START) == F.col("_first")).drop("_first")
 
 
-def sum_delta(sums: DataFrame, slices: tuple[int, ...] = (DAY,)) -> DataFrame:
+def sum_delta(sums: DataFrame, slices: tuple[int, ...] = (DAY,), value: str = "sum_int") -> DataFrame:
     """Cumulative sums to differences (`sum_delta`) inside a session: a reset starts from zero again."""
-    points = with_previous(sums, ["emitter", START], TIME, ["sum_int"], slices)
-    return points.withColumn("sum_delta", delta("sum_int")).drop("_previous")
+    points = with_previous(sums, ["emitter", START], TIME, [value], slices)
+    return points.withColumn("sum_delta", delta(value)).drop("_previous")
 
 
-def sum_delta_naive(sums: DataFrame, slices: tuple[int, ...] = (DAY,)) -> DataFrame:
+def sum_delta_naive(sums: DataFrame, slices: tuple[int, ...] = (DAY,), value: str = "sum_int") -> DataFrame:
     """The same over a whole emitter: differences are wrong where a session ends. For comparison only."""
-    points = with_previous(sums, ["emitter"], TIME, ["sum_int"], slices)
-    return points.withColumn("sum_delta", delta("sum_int")).drop("_previous")
+    points = with_previous(sums, ["emitter"], TIME, [value], slices)
+    return points.withColumn("sum_delta", delta(value)).drop("_previous")
 
 
 def session_gaps(df: DataFrame, series: list[str]) -> DataFrame:

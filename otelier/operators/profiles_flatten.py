@@ -9,7 +9,7 @@ from otelier.functions.expressions import explode_level, let, or_empty
 from otelier.operators.flatten import RESOURCE_COLUMNS, SCOPE_COLUMNS, flat_row, with_lineage
 from otelier.schemas import KEY_VALUE_UNIT, LOCATION
 
-BAD_VALUES = "OTLP Profiles Samples must contain an equal number of values and timestamps"
+BAD_VALUES = "a profile sample has a different number of values than of timestamps"
 
 
 def _pick(indices: Column, table: Column, ddl: str) -> Column:

@@ -114,6 +114,18 @@ def naive_deltas(spark, sf):
     return sum_delta_naive(sum_by_emitter(prepared(spark, sf), "app.events"))
 
 
+@query("sum_delta_double", """
+SELECT emitter, start_ns AS start_time_unix_nano, time_ns AS time_unix_nano, sum_int / 4 AS sum_value,
+  sum_int / 4 - lag(sum_int / 4, 1, 0) OVER (PARTITION BY emitter, start_ns ORDER BY time_ns) AS sum_delta
+FROM sums""", POINTS, _SUMS)
+def double_deltas(spark, sf):
+    # the same counter as doubles; quarters add up exactly
+    points = prepared(spark, sf).withColumns({
+        "sum_type": F.when(F.col("type") == "SUM", "AS_DOUBLE"), "sum_double": F.col("sum_int") / 4,
+        "sum_int": F.lit(None).cast("bigint")})
+    return sum_delta(sum_by_emitter(points, "app.events", value="sum_value"), value="sum_value")
+
+
 @query("session_gaps", """
 SELECT emitter, event_type, start_ns AS start_time_unix_nano, first_time, last_time, points, previous_start,
   first_time - previous_last AS gap_nanos FROM (

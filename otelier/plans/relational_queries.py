@@ -21,7 +21,7 @@ METRIC_KEYS = {"attributes": ["event.type"], "resource_attributes": ["service.na
 SPAN_KEYS = {"attributes": ["http.method", "http.status_code", "rpc.method"], "resource_attributes": ["service.name"]}
 
 # the trace the look-up queries show: the one of the second order and the second event
-TRACE = f"{2:032x}"
+TRACE = f"{3:032x}"
 
 
 @query("filter_valid", """

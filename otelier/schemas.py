@@ -271,6 +271,10 @@ def camel(name: str) -> str:
 ID_FIELDS = ("traceId", "spanId", "parentSpanId", "profileId")
 
 
+# The signed whole numbers of the protocol; all others are unsigned.
+SIGNED = {"int_value", "as_int", "intValue", "asInt", "scale", "offset", "value", "values", "key_strindex", "period"}
+
+
 def wire_schema(dtype: T.DataType, id_encoding: str = "base64", name: str = "") -> T.DataType:
     """JSON form of a packet type: camelCase names; integers arrive as text (or as a number, read as text).
 

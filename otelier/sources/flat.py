@@ -25,12 +25,17 @@ def read_flat(spark: SparkSession, signal: str, path: str) -> DataFrame:
     return spark.read.schema(FLAT_DDL[signal]).parquet(path)
 
 
-def read_signal(spark: SparkSession, signal: str, layout: str, path: str, id_encoding: str = "base64") -> DataFrame:
-    """Flat rows from any of the input modes: 4 signals x {raw, flat}. Raw packets are flattened as they are read."""
+def read_signal(
+    spark: SparkSession, signal: str, layout: str, path: str, id_encoding: str = "base64",
+    default_resource_attributes: str | None = None,
+) -> DataFrame:
+    """Flat rows from any of the input modes: 4 signals x {raw, flat}. Raw packets are flattened as they are read, and
+    resources get the default attributes (`k=v,k2=v2`) that they lack."""
     if layout == "flat":
         return read_flat(spark, signal, path)
     if layout == "raw":
-        return FLATTEN[signal](read_packets(spark, signal, path, id_encoding).drop("corrupt_record"))
+        packets = read_packets(spark, signal, path, id_encoding).drop("corrupt_record")
+        return FLATTEN[signal](packets, default_resource_attributes)
     raise ValueError(f"layout is raw or flat, not {layout!r}")
 
 

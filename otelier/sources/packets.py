@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from otelier.functions.expressions import compute_once, let
-from otelier.schemas import ENUMS, camel, packet_schema, wire_schema
+from otelier.schemas import ENUMS, SIGNED, camel, packet_schema, wire_schema
 
 CORRUPT = "corrupt_record"
 
@@ -19,6 +19,16 @@ def _enum_number(value: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(value.try_cast("int"), F.when(by_name >= 0, by_name))
 
 
+def _whole_number(text: Column, dtype: T.DataType, name: str) -> Column:
+    """Text to a number; unsigned fields wrap around where the signed type that stores them ends."""
+    if name in SIGNED:
+        return F.coalesce(text.try_cast(dtype), text.try_cast("decimal(20,0)").try_cast(dtype))
+    bits = 31 if isinstance(dtype, T.IntegerType) else 63
+    number = text.try_cast("decimal(20,0)")
+    wrapped = F.when(number >= F.lit(str(1 << bits)).cast("decimal(20,0)"), number - F.lit(str(1 << bits + 1)).cast("decimal(20,0)"))
+    return F.coalesce(wrapped, number).try_cast(dtype)
+
+
 def _conform(col: Column, dtype: T.DataType, name: str, id_encoding: str) -> Column:
     """Wire form of a value -> its packet type. Text that does not fit becomes null."""
     if name in ENUMS:
@@ -32,7 +42,7 @@ def _conform(col: Column, dtype: T.DataType, name: str, id_encoding: str) -> Col
             return col
         return F.transform(col, lambda x: _conform(x, dtype.elementType, name, id_encoding))
     if isinstance(dtype, (T.IntegerType, T.LongType)):
-        return col.try_cast(dtype)
+        return _whole_number(col, dtype, name)
     if wire_schema(dtype, id_encoding, camel(name)) != dtype:
         return F.try_to_binary(col, F.lit("hex"))
     return col
@@ -73,17 +83,22 @@ def rejected(packets: DataFrame) -> DataFrame:
     return packets.filter(F.col(CORRUPT).isNotNull()).select("batch_timestamp", "batch_UUID", CORRUPT)
 
 
-def _file_rows(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        F.col("value").alias("payload"),
-        F.col("_metadata.file_path").alias("position"),
-        F.unix_millis("_metadata.file_modification_time").alias("batch_timestamp"),
-    )
+def _file_rows(lines: DataFrame, arrival: Column) -> DataFrame:
+    """Packets with their file as position."""
+    return lines.select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("position"),
+                        arrival.alias("batch_timestamp"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Add the number of the line in its task to the position, so that equal lines of a file are told apart. Streams
+    can't number lines; there a packet is known by file and content."""
+    return rows.withColumn("position", F.concat_ws("/", "position", F.monotonically_increasing_id().cast("string")))
 
 
 def read_packets(spark: SparkSession, signal: str, path: str, id_encoding: str = "base64") -> DataFrame:
     """Read a directory of JSON packets, one per line, as typed nested rows with `corrupt_record`."""
-    return parse_packets(_file_rows(spark.read.text(path)), signal, id_encoding)
+    arrival = F.unix_millis("_metadata.file_modification_time")
+    return parse_packets(_numbered(_file_rows(spark.read.text(path), arrival)), signal, id_encoding)
 
 
 def stream_packets(
@@ -102,7 +117,9 @@ def stream_packets(
             F.unix_millis("timestamp").alias("batch_timestamp"),
         )
     else:
-        raw = _file_rows(spark.readStream.format(source).options(**options).load())
+        # a replayed file arrives now, whatever its age
+        arrival = F.unix_millis(F.current_timestamp())
+        raw = _file_rows(spark.readStream.format(source).options(**options).load(), arrival)
     return parse_packets(raw, signal, id_encoding)
 
 

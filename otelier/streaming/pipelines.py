@@ -42,9 +42,10 @@ def dedup_key(signal: str) -> list[str]:
 
 
 def stream_dedup(rows: DataFrame, signal: str, delay: str = "1 hour") -> DataFrame:
-    """Drop retransmissions that arrive within `delay` of the event time.
+    """Drop retransmissions that arrive within `delay` of the first copy.
 
-    State is one hash per record and is dropped behind the watermark, so it is bounded by the delay. The key is a
+    The watermark follows the time of arrival, so a record that is new stays, however old the event it tells of. State
+    is one hash per record and is dropped behind the watermark, so it is bounded by the delay. The key is a
     256-bit hash of the compared columns; equal rows meet in one state partition, the copies of a record are
     dropped as they come and are never collected.
     """
@@ -52,7 +53,8 @@ def stream_dedup(rows: DataFrame, signal: str, delay: str = "1 hour") -> DataFra
     return (
         with_event_time(rows, signal)
         .withColumn("_key", key)
-        .withWatermark("event_time", delay)
+        .withColumn("_arrival", F.timestamp_millis("batch_timestamp"))
+        .withWatermark("_arrival", delay)
         .dropDuplicatesWithinWatermark(["_key"])
-        .drop("_key")
+        .drop("_key", "_arrival")
     )

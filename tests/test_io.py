@@ -86,6 +86,22 @@ def test_stream_dedup_across_triggers(spark, sf, tmp_path):
     sent = encode_packets(fixtures.log_packets(spark, sf), "logs").repartition(3)
     for _ in range(3):
         sent.write.mode("append").text(source)
-    out = stream(spark, "logs", source, tmp_path, "out", lambda rows: stream_dedup(rows, "logs", "1000 days"))
+    out = stream(spark, "logs", source, tmp_path, "out", lambda rows: stream_dedup(rows, "logs"))
     lineage = ("batch_timestamp", "batch_UUID", "seq_no")
     assert text(read_flat(spark, "logs", out).drop(*lineage)) == text(fixtures.logs(spark, sf).drop(*lineage))
+
+
+def test_late_new_records_are_kept(spark, tmp_path):
+    """Three triggers, each with one log; the third tells of an event ten days older, and the second comes twice."""
+    source, now = str(tmp_path / "in"), 1_700_000_000_000_000_000
+    day = 86_400_000_000_000
+
+    def send(nanos):
+        line = '{"resourceLogs": [{"scopeLogs": [{"logRecords": [{"timeUnixNano": "%d"}]}]}]}' % nanos
+        spark.createDataFrame([(line,)], "value string").write.mode("append").text(source)
+        return stream(spark, "logs", source, tmp_path, "out", lambda rows: stream_dedup(rows, "logs"))
+
+    for nanos in (now, now + day, now + day, now - 10 * day):
+        out = send(nanos)
+    assert [r[0] for r in read_flat(spark, "logs", out).select("time_unix_nano").orderBy("time_unix_nano").collect()] == [
+        now - 10 * day, now, now + day]

@@ -72,8 +72,11 @@ def test_json_packets_give_the_same_rows(spark, sf, tmp_path, signal):
 @pytest.mark.parametrize("signal", ["logs", "spans", "metrics"])
 def test_deflatten_is_the_inverse(spark, sf, signal):
     rows = FLATTEN[signal](fixtures.PACKETS[signal](spark, sf)).cache()
-    again = FLATTEN[signal](deflatten(rows.unionByName(rows), signal))
-    assert text(again) == text(rows)
+    try:
+        again = FLATTEN[signal](deflatten(rows.unionByName(rows), signal))
+        assert text(again) == text(rows)
+    finally:
+        rows.unpersist()  # plans are shared with other tests
 
 
 def test_deflatten_keeps_resources_and_scopes_apart(spark):
@@ -96,3 +99,25 @@ def test_content_hash_without_lineage(spark):
         {"name": "a", "gauge": {"dataPoints": [{"asInt": 1}]}}]}]}]}).drop("batch_UUID", "batch_timestamp", "corrupt_record")
     row = flatten_metrics(both).first()
     assert len(row["batch_UUID"]) == 32 and row["batch_timestamp"] > 1_600_000_000_000
+
+
+def test_equal_lines_are_packets_of_their_own(spark, tmp_path):
+    from otelier.operators.packets import packet_outcome
+
+    path = str(tmp_path / "in")
+    line = '{"resourceLogs": [{"resource": {"attributes": [{"value": {"stringValue": "x"}}]}, "scopeLogs": [{"logRecords": [{"flags": 4294967295}]}]}]}'
+    spark.createDataFrame([(line,), (line,)], "value string").coalesce(1).write.text(path)
+    rows = read_signal(spark, "logs", "raw", path, default_resource_attributes="a=b")
+    assert packet_outcome(rows, "logs").count() == 2
+    assert deflatten(rows, "logs").count() == 2
+    row = rows.first()
+    # unsigned numbers wrap around; an attribute without key has the key ""
+    assert row["flags"] == -1
+    assert {kv["key"]: kv["value"]["string_value"] for kv in row["resource_attributes"]} == {"": "x", "a": "b"}
+
+
+def test_unsigned_numbers_wrap(spark):
+    packet = {"resourceMetrics": [{"scopeMetrics": [{"metrics": [{"name": "a", "sum": {"dataPoints": [
+        {"timeUnixNano": str(2 ** 63 + 5), "asInt": "-7"}, {"timeUnixNano": "1e3", "asInt": "9223372036854775807"}]}}]}]}]}
+    rows = flatten_metrics(packets(spark, "metrics", packet).drop("corrupt_record"))
+    assert rows_of(rows, "time_unix_nano", "sum_int") == [(-(2 ** 63) + 5, -7), (1000, 2 ** 63 - 1)]
