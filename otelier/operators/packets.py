@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from otelier.functions.anyvalue import BRANCHES
 from otelier.operators.flatten import RESOURCE_COLUMNS, SCOPE_COLUMNS
@@ -143,15 +143,25 @@ def _in_order(items: Column, position: str, value: str) -> Column:
 def deflatten(rows: DataFrame, signal: str) -> DataFrame:
     """Rebuild the packets of logs, spans or metrics from their rows.
 
-    Records that share packet, resource and scope go back under one node, in order of their sequence numbers.
-    Copies of a row (a packet read twice) are combined before their shuffle, so a group never exceeds the packet it
-    came from. The groupings that follow all run on one partitioning by packet id.
+    Neighbouring records (in order of their sequence numbers) that share resource and scope go back under one node; where
+    either changes, a new node starts, so equal nodes of a packet stay apart unless they touch. Copies of a row (a
+    packet read twice) are dropped. Everything runs on one partitioning by packet id, so on groups no larger than a
+    packet and its copies.
     """
     root, scopes, records, schema_url = _TREES[signal]
-    lineage = list(LINEAGE[signal])
-    rows = rows.dropDuplicates(["batch_UUID", *lineage[2:]]).repartition("batch_UUID")
+    place = list(LINEAGE[signal])[2:]
+    copy = Window.partitionBy("batch_UUID", *place).orderBy(place[-1])
+    rows = rows.repartition("batch_UUID").withColumn("_copy", F.row_number().over(copy)).filter("_copy = 1").drop("_copy")
+    in_order = Window.partitionBy("batch_UUID").orderBy(*place)
+    differs = lambda *columns: ~F.lag(F.struct(*columns)).over(in_order).eqNullSafe(F.struct(*columns))
+    rows = rows.withColumns({
+        "_new_resource": differs(*RESOURCE_COLUMNS).cast("int"),
+        "_new_scope": differs(*RESOURCE_COLUMNS, *SCOPE_COLUMNS, schema_url).cast("int")})
+    rows = rows.withColumns({
+        "_resource_no": F.sum("_new_resource").over(in_order), "_scope_no": F.sum("_new_scope").over(in_order)})
     packet = ["batch_timestamp", "batch_UUID"]
-    scope_keys = [*packet, *RESOURCE_COLUMNS, *SCOPE_COLUMNS, schema_url]
+    resource_keys = [*packet, "_resource_no", *RESOURCE_COLUMNS]
+    scope_keys = [*resource_keys, "_scope_no", *SCOPE_COLUMNS, schema_url]
 
     if signal == "metrics":
         head = ["seq_no", "name", "description", "unit", "type", "metric_metadata", "aggregation_temporality",
@@ -173,8 +183,7 @@ def deflatten(rows: DataFrame, signal: str) -> DataFrame:
         F.col(schema_url).alias("schemaUrl"),
         _in_order(F.col("_records"), "seq_no", "_record").alias(records),
     )
-    by_resource = by_scope.select(*packet, *RESOURCE_COLUMNS, "_at", scope.alias("_scope")).groupBy(
-        *packet, *RESOURCE_COLUMNS).agg(
+    by_resource = by_scope.select(*resource_keys, "_at", scope.alias("_scope")).groupBy(*resource_keys).agg(
         F.min("_at").alias("_at"), F.collect_list(F.struct("_at", "_scope")).alias("_scopes"))
     resource = F.struct(
         F.struct(F.col("resource_attributes").alias("attributes"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from otelier.functions.anyvalue import attributes_json, scalar_map
 from otelier.functions.expressions import column, hex_id, nanos_to_millis_timestamp, nanos_to_timestamp
@@ -75,14 +75,16 @@ def span_parent(spans: DataFrame, parent_columns: list[str]) -> DataFrame:
     Parents are found by (trace, span id), so a large trace is spread over tasks; many children of one parent are
     split by adaptive execution.
     """
-    # a retransmitted parent must not double its children
-    parents = spans.filter(F.length("span_id") > 0).groupBy("trace_id", F.col("span_id").alias("parent_span_id")).agg(
-        F.min(F.struct(*parent_columns)).alias("_parent"))
-    joined = spans.join(parents, ["trace_id", "parent_span_id"], "left")
-    return joined.select(
-        *[column(c) for c in spans.columns],
-        *[F.col("_parent")[c].alias(f"parent_{c}") for c in parent_columns],
+    # a retransmitted parent must not double its children; copies are cut before the shuffle, and the order that the
+    # row number needs is one that the join can use
+    one = Window.partitionBy("trace_id", "parent_span_id").orderBy(*[f"parent_{c}" for c in parent_columns])
+    parents = (
+        spans.filter(F.length("span_id") > 0)
+        .select("trace_id", F.col("span_id").alias("parent_span_id"), *[column(c).alias(f"parent_{c}") for c in parent_columns])
+        .withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").drop("_copy")
     )
+    joined = spans.join(parents, ["trace_id", "parent_span_id"], "left")
+    return joined.select(*[column(c) for c in spans.columns], *[f"parent_{c}" for c in parent_columns])
 
 
 def span_status(spans: DataFrame) -> DataFrame:

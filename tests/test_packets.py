@@ -94,6 +94,20 @@ def test_deflatten_keeps_resources_and_scopes_apart(spark):
     assert text(flatten_logs(deflatten(rows, "logs"))) == text(rows)
 
 
+def test_deflatten_keeps_the_order_of_repeated_nodes(spark):
+    def scope(name, n):
+        return {"scope": {"name": name}, "logRecords": [{"timeUnixNano": str(n)}]}
+
+    def resource(*found):
+        return {"resource": {"attributes": [{"key": "r", "value": {"intValue": "1"}}]}, "scopeLogs": list(found)}
+
+    packet = {"resourceLogs": [resource(scope("a", 1), scope("b", 2), scope("a", 3))]}
+    rows = flatten_logs(packets(spark, "logs", packet))
+    rebuilt = deflatten(rows, "logs").first()["resourceLogs"]
+    assert [[s["scope"]["name"] for s in r["scopeLogs"]] for r in rebuilt] == [["a", "b", "a"]]
+    assert text(flatten_logs(deflatten(rows, "logs"))) == text(rows)
+
+
 def test_content_hash_without_lineage(spark):
     both = packets(spark, "metrics", {"resourceMetrics": [{"scopeMetrics": [{"metrics": [
         {"name": "a", "gauge": {"dataPoints": [{"asInt": 1}]}}]}]}]}).drop("batch_UUID", "batch_timestamp", "corrupt_record")
