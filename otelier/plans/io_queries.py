@@ -44,9 +44,29 @@ def write_packets(spark: SparkSession, sf: str, signal: str, copies: int = 1, br
     return path
 
 
+# what a signal's rows must hold besides their number: (column, its SQL counterpart, SQL table, text column and counterpart)
+CONTENT = {
+    "logs": ("time_unix_nano", "time_ns", "logs", "severity_text", "severity_text"),
+    "spans": ("start_time_unix_nano", "start_ns", "spans", "name", "name"),
+    "metrics": ("time_unix_nano", "time_ns", "points", "name", "name"),
+    "profiles": ("value", "value", "profile_rows", None, None),
+}
+
+
+def counts_sql(layouts: tuple[str, ...]) -> str:
+    """Rows per signal and layout, with sums over a number and over the length of a text."""
+    return " UNION ALL ".join(
+        f"SELECT '{s}' AS signal, '{layout}' AS layout, count(*) AS n, CAST(sum({number} % 1000003) AS BIGINT) AS numbers, "
+        f"CAST({f'sum(length({text}))' if text else 0} AS BIGINT) AS texts FROM {t}"
+        for s, (_, number, t, _, text) in CONTENT.items() for layout in layouts)
+
+
 def counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
     rows = [
-        df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(a).alias("signal"), F.lit(b).alias("layout"), "n")
+        df.groupBy().agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col(CONTENT[a][0]) % 1000003).alias("numbers"),
+            (F.sum(F.length(CONTENT[a][3])) if CONTENT[a][3] else F.lit(0)).cast("bigint").alias("texts"),
+        ).select(F.lit(a).alias("signal"), F.lit(b).alias("layout"), "n", "numbers", "texts")
         for (a, b), df in tables.items()
     ]
     table = rows[0]
@@ -76,10 +96,7 @@ def rejected_packets(spark, sf):
                        F.min("corrupt_record").alias("payload"))
 
 
-@query("src_dispatch", " UNION ALL ".join(
-    f"SELECT '{s}' AS signal, '{layout}' AS layout, count(*) AS n FROM {t}"
-    for s, t in (("logs", "logs"), ("spans", "spans"), ("metrics", "points"), ("profiles", "profile_rows"))
-    for layout in ("raw", "flat")), LOGS, SPANS, POINTS, PROFILES)
+@query("src_dispatch", counts_sql(("raw", "flat")), LOGS, SPANS, POINTS, PROFILES)
 def dispatch(spark, sf):
     base, tables = scratch_path(spark, "dispatch"), {}
     for signal in SIGNALS:
@@ -126,13 +143,17 @@ _FROM, _TO = 1_704_844_800_000_000_000, 1_705_708_800_000_000_000
 
 
 @query("snk_hourly", f"""
-SELECT strftime(date_trunc('hour', make_timestamp(time_ns // 1000)), '%Y-%m-%d %H') AS hour, severity_text,
-  count(*) AS n FROM logs WHERE time_ns >= {_FROM} AND time_ns < {_TO} GROUP BY 1, 2""", LOGS)
+SELECT strftime(date_trunc('hour', make_timestamp(time_ns // 1000)), '%Y-%m-%d %H') AS hour, severity_text, count(*) AS n,
+  CAST(sum(time_ns % 1000003) AS BIGINT) AS times,
+  count(*) FILTER (time_ns >= {_FROM} AND time_ns < {_TO}) AS in_window FROM logs GROUP BY 1, 2""", LOGS)
 def hourly_sink(spark, sf):
+    """Every hour of the table that was written, and what a read of ten days finds in it."""
     path = write_hourly(fixtures.logs(spark, sf), "logs", scratch_path(spark, "hourly"))
-    rows = read_hourly(spark, "logs", path, _FROM, _TO)
-    return rows.groupBy(F.date_format("event_hour", "yyyy-MM-dd HH").alias("hour"), "severity_text").agg(
-        F.count(F.lit(1)).alias("n"))
+    keys = [F.date_format("event_hour", "yyyy-MM-dd HH").alias("hour"), "severity_text"]
+    every = read_hourly(spark, "logs", path, 0, 1 << 62).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("time_unix_nano") % 1000003).alias("times"))
+    window = read_hourly(spark, "logs", path, _FROM, _TO).groupBy(*keys).agg(F.count(F.lit(1)).alias("in_window"))
+    return every.join(window, ["hour", "severity_text"], "left").fillna(0, ["in_window"])
 
 
 @query("snk_run_meta", """
@@ -146,10 +167,7 @@ def metadata_sink(spark, sf):
         F.lit(found.get("run")).alias("run"), F.lit(found.get("site")).alias("site"), "n")
 
 
-@query("snk_signals", " UNION ALL ".join(
-    f"SELECT '{s}' AS signal, 'flat' AS layout, count(*) AS n FROM {t}"
-    for s, t in (("logs", "logs"), ("spans", "spans"), ("metrics", "points"), ("profiles", "profile_rows"))),
-       LOGS, SPANS, POINTS, PROFILES)
+@query("snk_signals", counts_sql(("flat",)), LOGS, SPANS, POINTS, PROFILES)
 def all_signals(spark, sf):
     frames = {"logs": fixtures.logs(spark, sf), "spans": fixtures.spans(spark, sf),
               "metrics": fixtures.metric_rows(spark, sf), "profiles": fixtures.profile_rows(spark, sf)}

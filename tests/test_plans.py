@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from otelier.functions.series import with_previous
 from otelier.operators.flatten import flatten_logs, flatten_spans
 from otelier.operators.relational import count_rows, dedup_rows, dedup_subset, filter_id, filter_valid
-from otelier.operators.traces import basic_spans
+from otelier.operators.packets import deflatten
+from otelier.operators.traces import basic_spans, span_parent
 from otelier.plans import fixtures
 from otelier.sources.flat import read_flat, read_signal, write_flat
 
@@ -79,3 +80,13 @@ def test_series_windows_are_sliced(spark):
     # the points are shuffled once, by series and slice, and both branches read that shuffle
     assert plan.split("== Initial Plan ==")[0].count("ReusedExchange") == 1
     assert "_slice" in plan.split("Exchange hashpartitioning(", 1)[1].split(")")[0]
+
+
+def test_parents_are_found_without_sorted_aggregation(stored):
+    plan = plan_of(span_parent(stored.select("trace_id", "span_id", "parent_span_id", "name"), ["name"]))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+def test_packets_are_rebuilt_on_one_exchange(stored):
+    plan = plan_of(deflatten(stored, "spans"))
+    assert plan.count("Exchange ") == 1 and "InMemoryTableScan" not in plan
