@@ -8,7 +8,7 @@ from otelier.functions.expressions import NANOS_PER_HOUR, nanos_to_timestamp
 from otelier.operators.flatten import flatten_logs, flatten_metrics, flatten_spans
 from otelier.operators.profiles_flatten import flatten_profiles
 from otelier.schemas import EVENT_TIME, FLAT_DDL, flat_schema
-from otelier.sources.packets import read_packets
+from otelier.sources.packets import read_packets, stream_packets
 
 FLATTEN = {
     "logs": flatten_logs,
@@ -39,6 +39,19 @@ def read_signal(
     raise ValueError(f"layout is raw or flat, not {layout!r}")
 
 
+def stream_signal(
+    spark: SparkSession, signal: str, layout: str, path: str, id_encoding: str = "base64",
+    default_resource_attributes: str | None = None,
+) -> DataFrame:
+    """`read_signal` as a stream over a growing directory."""
+    if layout == "flat":
+        return spark.readStream.schema(FLAT_DDL[signal]).parquet(path)
+    if layout == "raw":
+        packets = stream_packets(spark, signal, "text", {"path": path}, id_encoding).drop("corrupt_record")
+        return FLATTEN[signal](packets, default_resource_attributes)
+    raise ValueError(f"layout is raw or flat, not {layout!r}")
+
+
 def with_event_time(df: DataFrame, signal: str) -> DataFrame:
     """Add `event_time`, the timestamp of the record's own time in nanoseconds."""
     return df.withColumn("event_time", nanos_to_timestamp(EVENT_TIME[signal]))

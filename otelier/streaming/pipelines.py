@@ -20,14 +20,17 @@ def stream_rows(packets: DataFrame, signal: str, default_resource_attributes: st
 
 def write_stream(
     rows: DataFrame, signal: str, path: str, checkpoint: str, hourly: bool = False, once: bool = False,
-    every: str = FILE_AGE,
+    every: str = FILE_AGE, files_per_hour: int = 8,
 ) -> StreamingQuery:
-    """Append a stream of flat rows to Parquet: plain or in hour partitions, one file per task and trigger.
+    """Append a stream of flat rows to Parquet: plain, one file per task and trigger, or in hour partitions.
 
-    `once` takes what is there and stops. The checkpoint makes the sink exactly-once over failures.
+    Rows of one hour are dealt to `files_per_hour` tasks by packet, so a trigger writes that many files per hour at most,
+    and an hour that holds most rows is no single task. `once` takes what is there and stops. The checkpoint makes
+    the sink exactly-once over failures.
     """
     if hourly:
-        rows = with_event_hour(rows, signal)
+        part = F.pmod(F.xxhash64("batch_UUID"), F.lit(files_per_hour))
+        rows = with_event_hour(rows, signal).repartition("event_hour", part)
     writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if hourly:
         writer = writer.partitionBy("event_hour")

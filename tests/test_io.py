@@ -1,12 +1,13 @@
 """Sinks, hourly partitions, run metadata and streams."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from otelier.plans import fixtures
 from otelier.plans.fixtures import encode_packets
 from otelier.session import scratch_path
 from otelier.sources.flat import (
-    FLATTEN, SMALL_FILES, read_flat, read_hourly, read_signal, run_metadata, with_event_time, with_run_metadata,
+    FLATTEN, SMALL_FILES, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata,
     write_all, write_flat, write_hourly,
 )
 from otelier.sources.packets import stream_packets
@@ -105,3 +106,18 @@ def test_late_new_records_are_kept(spark, tmp_path):
         out = send(nanos)
     assert [r[0] for r in read_flat(spark, "logs", out).select("time_unix_nano").orderBy("time_unix_nano").collect()] == [
         now - 10 * day, now, now + day]
+
+
+def test_flat_tables_as_streams(spark, sf, tmp_path):
+    """Flat rows stream on to hour partitions, with a bounded number of files per hour."""
+    rows = fixtures.logs(spark, sf)
+    path = write_flat(rows, "logs", str(tmp_path / "flat"))
+    out = str(tmp_path / "out")
+    write_stream(stream_signal(spark, "logs", "flat", path), "logs", out, out + "-checkpoint", hourly=True, once=True,
+                 files_per_hour=2).awaitTermination()
+    back = spark.read.parquet(out)
+    assert text(back.drop("event_hour")) == text(rows)
+    files = back.select("event_hour", F.col("_metadata.file_path").alias("f")).distinct().groupBy("event_hour").count()
+    assert files.agg(F.max("count")).first()[0] <= 2
+    with pytest.raises(ValueError):
+        stream_signal(spark, "logs", "other", path)
