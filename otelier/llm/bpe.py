@@ -135,7 +135,7 @@ def word_bytes(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
 class KnownWords:
     """Ids of words by hash, kept between blocks in sorted arrays of bounded length."""
 
-    LIMIT = 1_000_000
+    LIMIT = 400_000
 
     def __init__(self):
         self.hashes = np.zeros(0, dtype=np.uint64)
@@ -306,7 +306,7 @@ class WordBpe:
         of_text = np.searchsorted(text_ends, starts, side="right")
         return flat.astype(np.uint32), np.bincount(of_text, weights=per_word, minlength=len(texts)).astype(np.int64)
 
-    def encode_many(self, texts: Iterable[str | None], block: int = 2_000_000) -> Iterator[np.ndarray]:
+    def encode_many(self, texts: Iterable[str | None], block: int = 500_000) -> Iterator[np.ndarray]:
         """Ids (unsigned 32-bit) of each text in turn. Texts are handled in blocks of about `block` characters."""
         waiting, size = [], 0
         for text in texts:

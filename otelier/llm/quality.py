@@ -24,7 +24,7 @@ FEATURES = ("upper", "digit", "sentence", "exclamation", "bar", "symbol", "forei
 MAX_LABELS = 20_000
 #: Documents with a smaller probability of being good are rejected.
 THRESHOLD = 0.5
-_PIECE = 2_000_000
+_PIECE = 500_000
 _OTHER, _LOWER, _UPPER, _DIGIT, _BLANK, _SENTENCE, _EXCLAMATION, _BAR, _SYMBOL = range(9)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 
 from otelier.llm.ragged import mix, span_hashes
 
-_PIECE = 2_000_000
+_PIECE = 500_000
 
 
 def _blank(data: np.ndarray) -> np.ndarray:
@@ -43,13 +43,23 @@ def word_hashes(text: bytes) -> np.ndarray:
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; texts are hashed together where they are short."""
-    encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    out, batch, room = [], [], _PIECE
+    for t in texts:
+        batch.append(t.encode("utf-8", "surrogatepass"))
+        room -= len(batch[-1])
+        if room <= 0:
+            out += _sets(batch, size)
+            batch, room = [], _PIECE
+    return out + _sets(batch, size) if batch else out
+
+
+def _sets(encoded: list[bytes], size: int) -> list[np.ndarray]:
     lengths = np.array([len(e) + 1 for e in encoded])
     data = np.frombuffer(b"\n".join(encoded) + b"\n", dtype=np.uint8)
     if len(data) <= 2 * _PIECE:
         blank = _blank(data)
         first = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
-        counts = np.bincount(np.searchsorted(np.cumsum(lengths), first, side="right"), minlength=len(texts))
+        counts = np.bincount(np.searchsorted(np.cumsum(lengths), first, side="right"), minlength=len(encoded))
         words = np.split(_hash_words(data), np.cumsum(counts)[:-1])
     else:
         words = [word_hashes(e) for e in encoded]

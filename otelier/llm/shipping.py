@@ -17,4 +17,7 @@ def reachable(spark: SparkSession) -> SparkSession:
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+    # texts can be long: with fewer rows at a time workers stay small
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark

@@ -36,7 +36,7 @@ class Transducer:
     """Compiled lazily from the pieces and scores of a vocabulary."""
 
     #: Start afresh beyond so many states, so that memory stays bounded.
-    MAX_STATES = 400_000
+    MAX_STATES = 300_000
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
@@ -220,7 +220,7 @@ class Transducer:
         out[:-1] -= 1
         return out.astype(np.int64)
 
-    def count_many(self, texts: Iterable[str | None], block: int = 1_000_000) -> Iterator[int]:
+    def count_many(self, texts: Iterable[str | None], block: int = 500_000) -> Iterator[int]:
         waiting, size = [], 0
         for t in texts:
             waiting.append(t or "")
