@@ -176,7 +176,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", key:
     rows = staged(source.mapInPandas(run, f"k {kind}, body bigint, host string, path string, f array<double>"), "features")
 
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("double").alias("y")).where("y IS NOT NULL")
-    sample = rows.join(known, "k").orderBy(F.xxhash64("k"), "body").limit(MAX_LABELS).select("f", "y").toPandas()
+    # a share of the labels first, so that tasks don't each send as many rows as the bound allows
+    share = min(1.0, 1.1 * MAX_LABELS / max(known.count(), 1))
+    drawn = known.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = rows.join(drawn, "k").orderBy(F.xxhash64("k"), "body").limit(MAX_LABELS).select("f", "y").toPandas()
     model = fit(np.array(sample["f"].tolist()).reshape(-1, len(FEATURES)), (sample["y"].to_numpy(dtype=float) > 0).astype(float))
 
     evidence = F.lit(model.bias)
