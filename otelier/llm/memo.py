@@ -1,27 +1,9 @@
-"""A bounded per-worker memo: most words of a corpus repeat, so each worker encodes a word once."""
+"""Objects that a Python worker builds once, such as an encoder."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-
-class Memo(dict):
-    """`memo[key]` computes a missing value. At `limit` entries it starts afresh, so memory stays bounded."""
-
-    def __init__(self, compute: Callable, limit: int = 250_000):
-        super().__init__()
-        self.compute, self.limit = compute, limit
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        # very long words are rare and would fill the memo
-        value = self.compute(key)
-        if len(key) <= 64:
-            self[key] = value
-        return value
-
-
 _LOADED: dict = {}
 
 
