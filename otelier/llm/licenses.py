@@ -6,18 +6,21 @@ large part of one template's n-grams must be in the paragraph. Training needs no
 templates, shortened, padded and mixed at random, and sentences that talk about licences without granting one.
 
 The weights belong to the n-grams of the templates. Their number depends on the templates alone, so broadcasting them
-is safe. Scoring is DataFrame functions throughout: paragraphs with a word that licences use, their n-grams, one join,
-one grouped sum.
+is safe. Scoring is DataFrame functions throughout: paragraphs with a word that licences use or that a confirmed one
+needs, their n-grams, one join, one grouped sum.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from otelier.functions.expressions import let
+
 #: How licences name themselves and what their notices say.
 TEMPLATES = {
     "MIT": (
@@ -40,8 +43,8 @@ TEMPLATES = {
         "You can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
     "BSD": (
         "Licensed under the BSD 3-Clause License.", "Released under the 2-clause BSD license.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following  are met",
+        "Redistributions of source code must retain the above copyright notice, this list of  and the following disclaimer."),
     "MPL-2.0": (
         "Licensed under the Mozilla Public License, Version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -61,7 +64,7 @@ OTHER = (
     "She lost her driver's license on the way to the city", "The restaurant applied for a liquor license last year",
     "The software comes with a warranty of two years", "You need permission from your parents", "The court heard a copyright dispute between two bands",
     "A pilot must renew the licence every two years", "The public library offers free copies of the map", "All rights of the tenant are explained in the contract",
-    "The university granted her permission to use the source", "Terms and conditions of the sale apply", "Version 2 of the program was released in May",
+    "The university granted her permission to use the source", "Terms and  of the sale apply", "Version 2 of the program was released in May",
     "The general public was not admitted", "Fishing is permitted with a license", "The apache helicopter landed near the foundation",
     "He is a licensed electrician", "Creative people work in common rooms", "Copies of the notice were distributed", "The attribution of the painting is disputed",
 )
@@ -73,8 +76,11 @@ GRAM = 3
 EXAMPLES = 30
 #: A family needs this probability, and this share of one template's n-grams.
 PROBABILITY, CONTAINMENT = 0.5, 0.5
-#: No template lacks all of these, so a paragraph that does can't be confirmed; scans look for them first.
+#: Words that licences use; a paragraph with one gives a row, confirmed or not.
 ANCHORS = r"(?i)licen[sc]e|copyright|permission|redistribut|public license|rights reserved|unauthorized copying|source code form|CC0|apply|warranted|software distributed"
+#: Words too frequent to look for first. The choice costs or saves time only.
+_EVERYDAY = frozenset("a all an and any are as at be by can for from have in included is it may no not of on or "
+                      "that the this to under use with work you your 0 1 2 3 4".split())
 
 _WORD = r"[\p{L}\p{N}]+"
 
@@ -87,6 +93,26 @@ def grams(tokens: list[str]) -> set[str]:
     return {" ".join(tokens[i:i + n]) for n in range(1, GRAM + 1) for i in range(len(tokens) - n + 1)}
 
 
+def needed_words(template: str) -> set[str]:
+    """Words of which every paragraph that holds CONTAINMENT of a template's n-grams has at least one.
+
+    Words are added, those that are in most n-grams first, until the n-grams without any of them are too few to confirm.
+    """
+    left, whole, needed = (held := grams(words(template))), len(held), set()
+    while len(left) >= CONTAINMENT * whole:
+        counts = {w: sum(w in g.split(" ") for g in left) for w in {w for g in left for w in g.split(" ")}}
+        needed.add(best := min(counts, key=lambda w: (w in _EVERYDAY, -counts[w], w)))
+        left = {g for g in left if best not in g.split(" ")}
+    return needed
+
+
+def _confirmable() -> str:
+    """A pattern that every lower-case text finds which a template can confirm."""
+    needed = sorted(set().union(*(needed_words(t) for ts in TEMPLATES.values() for t in ts)))
+    by_letter = "|".join(f"{c}(?:{'|'.join(w[1:] for w in ws)})" for c, ws in groupby(needed, lambda w: w[0]))
+    return r"(?<![\p{L}\p{N}])(?:" + by_letter + r")(?![\p{L}\p{N}])"
+
+
 def _examples(rng: np.random.Generator) -> tuple[list[list[str]], list[int]]:
     """Templates as found in the wild, and texts made of the same words that aren't licences."""
     prose = [w for s in OTHER for w in words(s)]
@@ -169,11 +195,13 @@ def _tokens(text: Column) -> Column:
 
 
 def _grams(tokens: Column) -> Column:
-    parts = [tokens]
-    for n in range(2, GRAM + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " ")))  # noqa: B023
-    return F.array_distinct(F.concat(*parts))
+    def parts(t: Column) -> Column:
+        # words are fetched by place: a slice, or the tokens themselves in a lambda, would cost the whole line per word
+        longer = [F.transform(F.when(F.size(t) >= n, F.sequence(F.lit(0), F.size(t) - n)).otherwise(F.array().cast("array<int>")),
+                              lambda i: F.concat_ws(" ", *[F.get(t, i + j) for j in range(n)])) for n in range(2, GRAM + 1)]  # noqa: B023
+        return F.concat(t, *longer)
+
+    return let(tokens, parts)
 
 
 def _weights(spark: SparkSession, model: LicenceModel) -> tuple[DataFrame, list[tuple[str, int]]]:
@@ -185,28 +213,30 @@ def _weights(spark: SparkSession, model: LicenceModel) -> tuple[DataFrame, list[
 
 def scan_licenses(docs: DataFrame, model: LicenceModel | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, paragraph, family, probability, template, containment, confirmed) for every paragraph (line, counted from 0)
-    with a word that licences use.
+    with a word that licences use or with CONTAINMENT of a template's n-grams.
 
     `family` is the most probable one where it has enough probability and a template of it confirms it, else `unknown`.
     `template` is the number of the best template of the most probable family and `containment` the share of its n-grams that is there. Null and
-    empty texts and texts without such words give no rows. A null key stays null; repeated rows give repeated
+    empty texts and texts without such paragraphs give no rows. A null key stays null; repeated rows give repeated
     rows; other columns are left out; an empty table gives no rows.
     """
     model = model or train()
     table, templates = _weights(docs.sparkSession, model)
-    rows = docs.where(F.col(text).rlike(ANCHORS)).select(F.col(key).alias("k"), F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "line"))
-    rows = rows.where(F.col("line").rlike(ANCHORS)).select("k", "row", "paragraph", F.explode(_grams(_tokens(F.col("line")))).alias("gram"))
-    # a left join keeps paragraphs without any known n-gram; the table's size is that of the templates
+    told = lambda c: c.rlike(ANCHORS) | F.lower(c).rlike(_confirmable())
+    rows = docs.where(told(F.col(text))).select(F.col(key).alias("k"), F.monotonically_increasing_id().alias("row"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "line"))
+    rows = rows.where(told(F.col("line"))).select("k", "row", "paragraph", F.col("line").rlike(ANCHORS).alias("anchored"), F.explode_outer(F.array_intersect(_grams(_tokens(F.col("line"))), F.lit(list(model.vocabulary)))).alias("gram"))
+    # an outer explode and a left join keep paragraphs without any known n-gram; the table's size is that of the templates
     joined = rows.join(F.broadcast(table), "gram", "left")
     n = len(FAMILIES)
     sums = [F.sum(F.coalesce(F.col("w")[i], F.lit(0.0))).alias(f"z{i}") for i in range(n)]
     hits = [F.count_if(F.array_contains("t", i)).alias(f"t{i}") for i in range(len(templates))]
-    scored = joined.groupBy("k", "row", "paragraph").agg(*sums, *hits)
+    scored = joined.groupBy("k", "row", "paragraph", "anchored").agg(*sums, *hits)
 
     z = F.array(*[(F.col(f"z{i}") + float(model.bias[i])) / model.temperature for i in range(n)])
     top = F.array_max("z")
     shares = [F.struct((F.col(f"t{i}") / size).alias("share"), F.lit(-i).alias("less"), F.lit(FAMILIES.index(f)).alias("of"))
               for i, (f, size) in enumerate(templates)]
+    scored = scored.where(F.col("anchored") | (F.greatest(*[F.col(f"t{i}") / size for i, (_, size) in enumerate(templates)]) >= CONTAINMENT))
     scored = scored.select("k", "paragraph", z.alias("z"), F.array(*shares).alias("shares")).withColumns({
         "best": F.array_position("z", top).cast("int") - 1,
         "probability": 1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - top))})

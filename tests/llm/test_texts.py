@@ -79,6 +79,20 @@ def test_licence_model_and_scan(spark):
     assert licenses.scan_licenses(awkward(spark), model).count() == 0
 
 
+def test_licences_named_without_the_usual_words(spark):
+    """Every line that a template confirms gives a row, whatever its words."""
+    lines = {"This text is available under CC BY 4.0.": "CC-BY", "Shared under CC BY-NC 4.0": "CC-BY-NC", "Text under CC BY-SA 4.0": "CC-BY-SA",
+             "Published under the BSD 3-Clause terms": "BSD", "under a Creative Commons Attribution 4.0 International": "CC-BY"}
+    df = spark.createDataFrame([(i, f"prose\n{x}\nunder the sea") for i, x in enumerate(lines)], "doc_id int, text string")
+    assert table(licenses.scan_licenses(df), "doc_id", "paragraph", "family", "confirmed") == [(i, 1, f, True) for i, f in enumerate(lines.values())]
+
+
+def test_needed_words_are_needed():
+    for template in (t for ts in licenses.TEMPLATES.values() for t in ts):
+        held, needed = licenses.grams(licenses.words(template)), licenses.needed_words(template)
+        assert sum(not needed & set(g.split(" ")) for g in held) / len(held) < licenses.CONTAINMENT
+
+
 # ---------------------------------------------------------------- quality
 
 
