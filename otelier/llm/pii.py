@@ -46,10 +46,20 @@ _NAMED = re.compile(rf"\b({'|'.join(_NAME_GENDER)})[ \t]({_ANY})\b")
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 _IPV4 = re.compile(r"(?a)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)")
-_CARD = re.compile(r"(?a)(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)")
+#: Digits that a card number can be a part of; other numbers may stand before and after it.
+_DIGIT_RUN = re.compile(r"(?a)(?<![\d+])\d(?:[ -]?\d){12,}(?!\d)")
+#: How issuers begin their numbers, by length.
+_ISSUED = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3[0689]\d{12}|6\d{15,18}|35\d{14}")
 _PHONE = re.compile(r"(?a)(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w+])\(?\d{3}\)?[ .-]\d{3}[.-]\d{4}(?!\d)")
 _SSN = re.compile(r"(?a)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _IBAN = re.compile(r"(?a)\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
+_IBAN_START = re.compile(r"(?a)\b[A-Z]{2}\d{2}(?= ?[A-Z0-9]{4})")
+#: Characters of an IBAN by country, where known.
+_IBAN_LENGTH = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FO,GL,NL,FK,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK,MN 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,TL,SO 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for c in cs.split(",")}
+_IBAN_OF = {n: re.compile(rf"(?a)[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}{f' ?[A-Z0-9]{{{n % 4}}}' if n % 4 else ''}\b") for n in range(12, 36)}
 _CLOUD_KEY = re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b")
 _DIGIT = re.compile("[0-9]")
 _SECRET_WORDS = ("passw", "pwd", "secret", "token", "key")
@@ -73,6 +83,46 @@ def _script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
+def _find_cards(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Card numbers that begin and end where groups of digits do. Those an issuer could have given come first, then
+    the earlier and the longer ones."""
+    for run in _DIGIT_RUN.finditer(text):
+        groups = [(m.start(), m.end()) for m in re.finditer("[0-9]+", run[0])]
+        valid = []
+        for i, (start, _) in enumerate(groups):
+            length = 0
+            for a, end in groups[i:]:
+                length += end - a
+                if length > 19:
+                    break
+                if length >= 13 and luhn(value := _digits(run[0][start:end])):
+                    valid.append((not _ISSUED.fullmatch(value), start, -end, value))
+        taken = bytearray(len(run[0]))
+        for _, start, end, value in sorted(valid):
+            if not any(taken[start:-end]):
+                taken[start:-end] = b"\1" * (-end - start)
+                yield run.start() + start, run.start() - end, "card", value
+
+
+def _find_ibans(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """IBAN by the length of the country; otherwise by the longest match, or for unknown countries any end of a word."""
+    at = 0
+    for m in _IBAN_START.finditer(text):
+        start = m.start()
+        if start < at:
+            continue
+        known = _IBAN_LENGTH.get(m[0][:2])
+        ends = [e for e in (_IBAN_OF[n].match(text, start) for n in ([known] if known else range(35, 11, -1))) if e]
+        if known and (longest := _IBAN.match(text, start)):
+            ends.append(longest)
+        for e in ends:
+            value = e[0].replace(" ", "")
+            if iban_remainder(value) == 1:
+                yield start, e.end(), "iban", value
+                at = e.end()
+                break
+
+
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of the entities of a text, in order and apart."""
     found: list[tuple[int, int, str, str]] = []
@@ -84,9 +134,8 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     if _DIGIT.search(text):
         if "KIA" in text or "SIA" in text:
             found += [(*m.span(), "cloud-key", m[0]) for m in _CLOUD_KEY.finditer(text)]
-        found += [(*m.span(), "card", _digits(m[0])) for m in _CARD.finditer(text) if luhn(_digits(m[0]))]
-        found += [(*m.span(), "iban", re.sub(" ", "", m[0])) for m in _IBAN.finditer(text)
-                  if iban_remainder(re.sub(" ", "", m[0])) == 1]
+        found += _find_cards(text)
+        found += _find_ibans(text)
         found += [(*m.span(), "phone", _national(m[0])) for m in _PHONE.finditer(text)]
         found += [(*m.span(), "ssn", _digits(m[0])) for m in _SSN.finditer(text)]
         found += [(*m.span(), "ip", m[0]) for m in _IPV4.finditer(text)]

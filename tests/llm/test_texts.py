@@ -178,6 +178,20 @@ def test_surrogates(spark):
     assert luhn(card[1]) and card[0].replace(" ", "") == card[1]
 
 
+@pytest.mark.parametrize("kind,value,text", [
+    ("card", "4111111111111111", x) for x in ("4111111111111111 12/27", "4111 1111 1111 1111 123", "4111111111111111 12 12 2027", "7 4111-1111-1111-1111",
+                                              "no. 1234 4111 1111 1111 1111 123 5")] + [
+    ("card", "4151891120517744", "4151891120517744 12 items"), ("iban", "AT611904300234573201", "AT611904300234573201 EUR"),
+    ("iban", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332 BIC"), ("iban", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32 AB12 CDEF")])
+def test_numbers_next_to_other_words(kind, value, text):
+    assert [e[2:] for e in find_entities(text)] == [(kind, value)]
+
+
+def test_two_cards_and_no_card():
+    assert [e[3] for e in find_entities("4111111111111111 5555555555554444 12")] == ["4111111111111111", "5555555555554444"]
+    assert not find_entities("41111111111111111111 and 4111111111111112")
+
+
 def test_surrogates_stay_distinct(spark):
     """All first names of a list collide with real ones, so each takes a later attempt."""
     names = ["James", "Robert", "Thomas", "William", "Henry", "David", "Daniel", "Michael"]
