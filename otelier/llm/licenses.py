@@ -57,6 +57,7 @@ TEMPLATES = {
     "CC0": (
         "Released under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     "Proprietary": (
+        "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher.",
         "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential."),
 }

@@ -87,6 +87,14 @@ def test_licences_named_without_the_usual_words(spark):
     assert table(licenses.scan_licenses(df), "doc_id", "paragraph", "family", "confirmed") == [(i, 1, f, True) for i, f in enumerate(lines.values())]
 
 
+def test_all_rights_reserved(spark):
+    lines = ["All rights reserved.", "All rights of the tenant are explained in the contract", "Licensed under CC BY-NC 4.0.", "Released under the MIT License.",
+             "This work is licensed under the GNU General Public License, version 3.", "Licensed under the Apache License, Version 2.0."]
+    df = spark.createDataFrame([(1, "\n".join(lines))], "doc_id int, text string")
+    got = dict(table(licenses.scan_licenses(df), "paragraph", "family"))
+    assert {i: f for i, f in got.items() if f != "unknown"} == {0: "Proprietary", 2: "CC-BY-NC", 3: "MIT", 4: "GPL", 5: "Apache-2.0"}
+
+
 def test_needed_words_are_needed():
     for template in (t for ts in licenses.TEMPLATES.values() for t in ts):
         held, needed = licenses.grams(licenses.words(template)), licenses.needed_words(template)
