@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
-from otelier.llm import bit_sliced, graph_search, line_dedup
+from otelier.llm import bit_sliced, graph_search, line_dedup, resampling
 from otelier.llm.jaccard import similar_components
 from otelier.llm.licenses import scan_licenses
 from otelier.llm.packing import pack_documents
@@ -84,3 +84,9 @@ def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encoding_digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op13_importance_resampling", resampling.ORACLE)
+def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = resampling.importance_ranks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), longest=1, buckets=10_000, percent=10)
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
