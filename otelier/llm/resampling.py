@@ -14,7 +14,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from otelier.llm.staging import staged
 from otelier.llm.words import PIECE, WORD, joined, pieces
@@ -115,7 +115,7 @@ def importance_weights(docs: DataFrame, gains: np.ndarray, longest: int, text: s
             yield out
 
     for name in ("n_words", "n_features", "weight"):
-        kept = kept.add(name, "bigint")
+        kept = kept.add(name, T.LongType())
     return docs.select(*keep, F.col(text).cast("binary").alias("__text")).mapInPandas(run, kept)
 
 
