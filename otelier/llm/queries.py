@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
-from otelier.llm import bit_sliced, graph_search, line_dedup, resampling
+from otelier.llm import bit_sliced, decontaminate, graph_search, line_dedup, resampling
 from otelier.llm.jaccard import similar_components
 from otelier.llm.licenses import scan_licenses
 from otelier.llm.packing import pack_documents
@@ -86,6 +86,14 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encoding_digests(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op11_decontamination", decontaminate.ORACLE)
+def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query("op13_importance_resampling", resampling.ORACLE)
 def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     ranks = resampling.importance_ranks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), longest=1, buckets=10_000, percent=10)

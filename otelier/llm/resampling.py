@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from otelier.llm.staging import staged
@@ -67,22 +67,22 @@ def text_features(texts: list[bytes], longest: int, buckets: int) -> Iterator[tu
         yield found, owner + first, count
 
 
-def _texts(column: pd.Series) -> list[bytes]:
-    return [t if t is not None else b"" for t in column]
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return [t or b"" for t in batch.column("__text").to_pylist()]
 
 
 def bucket_counts(docs: DataFrame, longest: int, buckets: int, text: str = "text") -> DataFrame:
     """(bucket, n) of all documents. A task adds up its batches and sends at most one row per bucket."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for found, _, _ in text_features(_texts(batch["t"]), longest, buckets):
+            for found, _, _ in text_features(_texts(batch), longest, buckets):
                 total += np.bincount(found, minlength=buckets)
         held = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": held, "n": total[held]})
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
 
-    counted = docs.select(F.col(text).cast("binary").alias("t")).mapInPandas(run, "bucket bigint, n bigint")
+    counted = docs.select(F.col(text).cast("binary").alias("__text")).mapInArrow(run, "bucket bigint, n bigint")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -100,23 +100,23 @@ def bucket_gains(raw: DataFrame, target: DataFrame, longest: int, buckets: int,
 
 def importance_weights(docs: DataFrame, gains: np.ndarray, longest: int, text: str, keep: list[str]) -> DataFrame:
     """The columns in `keep` with n_words, n_features and weight: the floored mean gain of its features, 0 without any."""
-    buckets, kept = len(gains), docs.select(*keep).schema
+    buckets = len(gains)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, features, total = (np.zeros(len(batch), dtype=np.int64) for _ in range(3))
-            for found, owner, n in text_features(_texts(batch["__text"]), longest, buckets):
+            words, features, total = (np.zeros(batch.num_rows, dtype=np.int64) for _ in range(3))
+            for found, owner, n in text_features(_texts(batch), longest, buckets):
                 words += n
-                features += np.bincount(owner, minlength=len(batch))
+                features += np.bincount(owner, minlength=batch.num_rows)
                 # sums of whole numbers: exact
-                total += np.bincount(owner, weights=gains[found], minlength=len(batch)).astype(np.int64)
-            out = batch[keep].copy()
-            out["n_words"], out["n_features"], out["weight"] = words, features, total // np.maximum(features, 1)
-            yield out
+                total += np.bincount(owner, weights=gains[found], minlength=batch.num_rows).astype(np.int64)
+            added = [words, features, total // np.maximum(features, 1)]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), *map(pa.array, added)], names=[*keep, *names])
 
-    for name in ("n_words", "n_features", "weight"):
+    names, kept = ["n_words", "n_features", "weight"], docs.select(*keep).schema
+    for name in names:
         kept = kept.add(name, T.LongType())
-    return docs.select(*keep, F.col(text).cast("binary").alias("__text")).mapInPandas(run, kept)
+    return docs.select(*keep, F.col(text).cast("binary").alias("__text")).mapInArrow(run, kept)
 
 
 def gumbel(seed: int, key: Column) -> Column:
