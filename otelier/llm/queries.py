@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.llm.bpe import encoding_digests
-from otelier.llm import bit_sliced, decontaminate, graph_search, line_dedup, resampling
+from otelier.llm import bit_sliced, conversations, decontaminate, graph_search, line_dedup, resampling
 from otelier.llm.jaccard import similar_components
 from otelier.llm.licenses import scan_licenses
 from otelier.llm.packing import pack_documents
@@ -94,6 +94,20 @@ def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    report, turns = conversations.repair_conversations(conversations.damaged(rows))
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    texts = ("audit", "repaired_sha256")
+    parts = [df.select("conv_id", *[F.col(c) if c in df.columns else F.lit(None).cast("bigint" if c in numbers else "string").alias(c)
+                                    for c in (*numbers, *texts)])
+             for df in (rows.select("conv_id").distinct(), report, conversations.turn_digests(turns))]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("conv_id").agg(*[F.max(c).alias(c) for c in (*numbers, *texts)])
+    return whole.select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 @query("op13_importance_resampling", resampling.ORACLE)
 def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     ranks = resampling.importance_ranks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), longest=1, buckets=10_000, percent=10)

@@ -62,5 +62,5 @@ def test_stages_on_awkward_and_empty_tables(spark, sf):
 
 def test_every_operator_has_a_query():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names
