@@ -5,20 +5,16 @@ All are built-in Spark expressions on the row; none shuffles or leaves the JVM.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from otelier.functions.expressions import no_items, typed_struct
+from otelier.functions.nested import json_scalar, plain_dict, plain_list, resolve_nested
 from otelier.schemas import ANY_VALUE, KEY_VALUE
 
 # Fixed texts that stand for values too complex to compare as text.
 LIST_VALUE_TEXT = "ignoring attribute list value"
 DICT_VALUE_TEXT = "ignoring attribute dict value"
 
-# How many levels of nested lists and dicts are unwrapped when rendered as JSON; deeper levels stay as received.
-NESTING = 2
-
 # branch of the value -> its name in `body_type`
 BRANCHES = {
     "string_value": "STRING_VALUE",
@@ -76,7 +72,7 @@ def last_value(attributes: Column, key: str) -> Column:
 
 
 def text_map(attributes: Column, render=any_value) -> Column:
-    """Attribute list -> MAP<key, text>; the last duplicate of a key wins."""
+    """Attribute list -> MAP<key, rendered value>, as text by default; the last duplicate of a key wins."""
     return F.map_from_entries(
         F.transform(attributes, lambda kv: F.struct(F.coalesce(kv["key"], F.lit("")), render(kv["value"])))
     )
@@ -90,71 +86,10 @@ def scalar_map(attributes: Column) -> Column:
 # ---------------------------------------------------------------- nested values
 
 
-@lru_cache
-def _wire_value(depth: int) -> str:
-    """JSON schema of a value, `depth` levels deep. The levels below stay text."""
-    nested = ("arrayValue:STRING, kvlistValue:STRING" if depth == 0 else
-              f"arrayValue:{list_schema(depth)}, kvlistValue:{dict_schema(depth)}")
-    return ("STRUCT<stringValue:STRING, boolValue:BOOLEAN, intValue:STRING, doubleValue:DOUBLE, "
-            f"bytesValue:STRING, stringValueStrindex:INT, {nested}>")
-
-
-def list_schema(depth: int) -> str:
-    return f"STRUCT<`values`:ARRAY<{_wire_value(depth - 1)}>>"
-
-
-def dict_schema(depth: int) -> str:
-    return f"STRUCT<`values`:ARRAY<STRUCT<key:STRING, keyStrindex:INT, value:{_wire_value(depth - 1)}>>>"
-
-
-def json_scalar(x: Column) -> Column:
-    """One value as JSON, quoted and escaped where JSON wants it; null stays null."""
-    # the text of a one-element list without its brackets; a JSON scalar never ends in a bracket itself
-    return F.when(x.isNotNull(), F.rtrim(F.substr(F.to_json(F.array(x)), F.lit(2)), F.lit("]")))
-
-
-def json_object(entries: Column) -> Column:
-    """ARRAY<STRUCT<key, json>> -> JSON object text; the last duplicate of a key wins."""
-    members = F.transform(
-        F.map_entries(F.map_from_entries(entries)),
-        lambda e: F.concat(json_scalar(e["key"]), F.lit(":"), e["value"]),
-    )
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
-
-
-def _list_json(items: Column, depth: int) -> Column:
-    texts = F.transform(items, lambda x: _wire_json(x, depth - 1))
-    return F.concat(F.lit("["), F.array_join(F.coalesce(texts, F.array()), ","), F.lit("]"))
-
-
-def _dict_json(members: Column, depth: int) -> Column:
-    entries = F.transform(members, lambda kv: F.struct(
-        F.coalesce(kv["key"], F.lit("")).alias("key"), _wire_json(kv["value"], depth - 1).alias("value")))
-    return json_object(F.coalesce(entries, F.array().cast("array<struct<key:string,value:string>>")))
-
-
-def _wire_json(v: Column, depth: int) -> Column:
-    if depth == 0:
-        nested = [v["arrayValue"], v["kvlistValue"]]
-    else:
-        nested = [
-            F.when(v["arrayValue"].isNotNull(), _list_json(v["arrayValue"]["values"], depth)),
-            F.when(v["kvlistValue"].isNotNull(), _dict_json(v["kvlistValue"]["values"], depth)),
-        ]
-    return F.coalesce(
-        json_scalar(v["stringValue"]), v["boolValue"].cast("string"), v["intValue"],
-        json_scalar(v["doubleValue"]), *nested, json_scalar(v["bytesValue"]), F.lit("null"),
-    )
-
-
 def _nested_json(v: Column) -> list[Column]:
     """JSON of the list and the dict branch, without the type wrappers of the wire form."""
-    lists = F.from_json(v["array_value"], list_schema(NESTING))
-    dicts = F.from_json(v["kvlist_value"], dict_schema(NESTING))
-    return [
-        F.when(v["array_value"].isNotNull(), _list_json(lists["values"], NESTING)),
-        F.when(v["kvlist_value"].isNotNull(), _dict_json(dicts["values"], NESTING)),
-    ]
+    return [F.when(v["array_value"].isNotNull(), plain_list(v["array_value"])),
+            F.when(v["kvlist_value"].isNotNull(), plain_dict(v["kvlist_value"]))]
 
 
 def any_json(v: Column) -> Column:
@@ -175,52 +110,29 @@ def to_map(attributes: Column) -> Column:
     return text_map(attributes, native_text)
 
 
-def attributes_json(attributes: Column) -> Column:
-    """Attribute list -> JSON object text with native value types."""
-    return json_object(
-        F.transform(attributes, lambda kv: F.struct(F.coalesce(kv["key"], F.lit("")), any_json(kv["value"])))
-    )
+def any_variant(v: Column) -> Column:
+    """A value as VARIANT: native scalars, plain lists and objects, bytes in base64, null if unset."""
+    nested = [F.when(v[f].isNotNull(), F.parse_json(plain(v[f], exponents=True)))
+              for f, plain in (("array_value", plain_list), ("kvlist_value", plain_dict))]
+    scalars = [v[f].cast(T.VariantType()) for f in ("string_value", "bool_value", "int_value", "double_value")]
+    return F.coalesce(*scalars, *nested, F.base64(v["bytes_value"]).cast(T.VariantType()))
 
 
-# ---------------------------------------------------------------- string indices
+def variant_map(attributes: Column) -> Column:
+    """Attribute list -> MAP<key, VARIANT>; the last duplicate of a key wins."""
+    return text_map(attributes, any_variant)
 
 
-def resolve_text(strings: Column, index: Column) -> Column:
-    return F.get(strings, F.coalesce(index, F.lit(0)))
+def attributes_json(attributes: Column) -> Column:
+    """Attribute list -> JSON object text with native value types; the keys of nested dicts come in alphabetical order."""
+    return F.to_json(variant_map(attributes))
 
 
-def _resolve_wire(v: Column, strings: Column, depth: int) -> list[Column]:
-    resolved = [
-        F.coalesce(v["stringValue"],
-                   F.when(v["stringValueStrindex"].isNotNull(), F.get(strings, v["stringValueStrindex"])))
-        .alias("stringValue"),
-        *[v[f].alias(f) for f in ("boolValue", "intValue", "doubleValue", "bytesValue")],
-    ]
-    if depth == 0:
-        return [*resolved, v["arrayValue"].alias("arrayValue"), v["kvlistValue"].alias("kvlistValue")]
-    return [
-        *resolved,
-        F.when(v["arrayValue"].isNotNull(), _resolve_list(v["arrayValue"], strings, depth)).alias("arrayValue"),
-        F.when(v["kvlistValue"].isNotNull(), _resolve_dict(v["kvlistValue"], strings, depth)).alias("kvlistValue"),
-    ]
-
-
-def _resolve_list(nested: Column, strings: Column, depth: int) -> Column:
-    return F.struct(
-        F.transform(nested["values"], lambda x: F.struct(*_resolve_wire(x, strings, depth - 1))).alias("values")
-    )
+# ---------------------------------------------------------------- string indices
 
 
-def _resolve_dict(nested: Column, strings: Column, depth: int) -> Column:
-    return F.struct(
-        F.transform(
-            nested["values"],
-            lambda kv: F.struct(
-                resolve_key(kv["key"], kv["keyStrindex"], strings).alias("key"),
-                F.struct(*_resolve_wire(kv["value"], strings, depth - 1)).alias("value"),
-            ),
-        ).alias("values")
-    )
+def resolve_text(strings: Column, index: Column) -> Column:
+    return F.get(strings, F.coalesce(index, F.lit(0)))
 
 
 def resolve_key(key: Column, index: Column, strings: Column) -> Column:
@@ -229,14 +141,10 @@ def resolve_key(key: Column, index: Column, strings: Column) -> Column:
 
 
 def resolve_value(v: Column, strings: Column) -> Column:
-    """A value whose texts may be indices into `strings`, as a plain value.
-
-    Nested lists and dicts are resolved `NESTING` levels deep, and only where they hold an index at all.
-    """
+    """A value whose texts may be indices into `strings`, at any depth, as a plain value."""
 
-    def nested(text: Column, schema: str, resolve) -> Column:
-        parsed = F.from_json(text, schema)
-        return F.when(text.contains("trindex"), F.to_json(resolve(parsed, strings, NESTING))).otherwise(text)
+    def nested(text: Column) -> Column:
+        return F.when(text.contains("trindex"), resolve_nested(text, strings)).otherwise(text)
 
     return F.when(
         v.isNotNull(),
@@ -245,8 +153,8 @@ def resolve_value(v: Column, strings: Column) -> Column:
                        F.when(v["string_value_strindex"].isNotNull(), F.get(strings, v["string_value_strindex"])))
             .alias("string_value"),
             *[v[f].alias(f) for f in ("bool_value", "int_value", "double_value")],
-            nested(v["array_value"], list_schema(NESTING), _resolve_list).alias("array_value"),
-            nested(v["kvlist_value"], dict_schema(NESTING), _resolve_dict).alias("kvlist_value"),
+            nested(v["array_value"]).alias("array_value"),
+            nested(v["kvlist_value"]).alias("kvlist_value"),
             v["bytes_value"].alias("bytes_value"),
         ),
     )

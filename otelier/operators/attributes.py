@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from otelier.functions.anyvalue import attributes_json, json_scalar, scalar_map, text_map
+from otelier.functions.anyvalue import scalar_map, text_map, variant_map
 from otelier.functions.expressions import column, default_for
 from otelier.schemas import NULLABLE, flat_schema
 
@@ -51,34 +51,23 @@ def is_key_value_list(dtype: T.DataType) -> bool:
             and dtype.elementType.names[:2] == ["key", "value"])
 
 
-def _member(name: str, text: Column) -> Column:
-    return F.concat(F.lit(f'"{name}":'), text)
-
-
-def _json_text(value: Column, dtype: T.DataType, fill: bool, keep_default: bool) -> Column:
-    """JSON text of a field; null where the field is unset and not to be filled."""
+def _json_ready(value: Column, dtype: T.DataType, fill: bool, keep_default: bool) -> Column:
+    """A field as `to_json` should write it; null, which it leaves out, where the field is unset and not to be filled."""
     if is_key_value_list(dtype):
-        text = attributes_json(value)
-        return F.coalesce(text, F.lit("{}")) if fill else F.when(F.size(value) > 0, text)
+        members = variant_map(value)
+        return F.coalesce(members, F.create_map().cast("map<string,variant>")) if fill else F.when(F.size(value) > 0, members)
     if isinstance(dtype, T.StructType):
-        inner = [_member(f.name, _json_text(value[f.name], f.dataType, fill, False)) for f in dtype.fields]
-        text = F.concat(F.lit("{"), F.concat_ws(",", *inner), F.lit("}"))
-        return text if fill else F.when(value.isNotNull(), text)
+        inner = F.struct(*[_json_ready(value[f.name], f.dataType, fill, False).alias(f.name) for f in dtype.fields])
+        return inner if fill else F.when(value.isNotNull(), inner)
     if isinstance(dtype, T.ArrayType):
-        items = F.transform(value, lambda x: F.coalesce(_json_text(x, dtype.elementType, fill, True), F.lit("null")))
-        text = F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
-        return F.coalesce(text, F.lit("[]")) if fill else F.when(F.size(value) > 0, text)
-    if isinstance(dtype, T.BinaryType):
-        scalar = F.concat(F.lit('"'), F.base64(value), F.lit('"'))
-    elif isinstance(dtype, (T.StringType, T.DoubleType)):
-        scalar = json_scalar(value)
-    else:
-        scalar = value.cast("string")
+        present = F.coalesce(value, F.array().cast(dtype)) if fill else F.when(F.size(value) > 0, value)
+        if not fill and not isinstance(dtype.elementType, T.StructType):
+            return present
+        return F.transform(present, lambda x: _json_ready(x, dtype.elementType, fill, True))
     default = default_for(dtype)
     if fill:
-        empty = {"string": '""', "binary": '""', "double": "0.0", "boolean": "false"}.get(dtype.simpleString(), "0")
-        return F.coalesce(scalar, F.lit(empty))
-    return scalar if keep_default else F.when(value != default, scalar)
+        return F.coalesce(value, default)
+    return value if keep_default else F.when(value != default, value)
 
 
 def to_json_map(df: DataFrame, signal: str, with_defaults: bool = False) -> Column:
@@ -87,11 +76,9 @@ def to_json_map(df: DataFrame, signal: str, with_defaults: bool = False) -> Colu
     Without defaults only fields that are set appear: a field that can be null if it is not null, any other if it
     differs from the default of its type. With defaults every field appears: 0, 0.0, false, "", [] or {}.
     """
-    members = [
-        _member(f.name, _json_text(F.col(f.name), f.dataType, with_defaults, f.name in NULLABLE[signal]))
-        for f in flat_schema(signal).fields if f.name in df.columns
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    return F.to_json(F.struct(*[
+        _json_ready(F.col(f.name), f.dataType, with_defaults, f.name in NULLABLE[signal]).alias(f.name)
+        for f in flat_schema(signal).fields if f.name in df.columns]))
 
 
 def split_columns(

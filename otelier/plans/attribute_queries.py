@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from otelier.functions.anyvalue import any_value, attributes_json, last_value, to_map
+from otelier.functions.anyvalue import any_value, attributes_json, last_value, native_text, resolve_attributes, to_map
 from otelier.functions.expressions import column, compute_once
 from otelier.operators.attributes import (
     attribute_keys, drop_empty_columns, drop_empty_rows, fill_blank, first_attribute, json_value, native_types,
@@ -12,8 +12,8 @@ from otelier.operators.attributes import (
 )
 from otelier.operators.relational import group_sum
 from otelier.plans import fixtures
-from otelier.plans.oracle import LOGS, POINTS, SPANS
-from otelier.plans.registry import attribute, query
+from otelier.plans.oracle import LOGS, NESTED, POINTS, SPANS
+from otelier.plans.registry import attribute, big, query
 
 
 @query("attr_value", """
@@ -59,6 +59,23 @@ def attr_map(spark, sf):
     return fixtures.spans(spark, sf).groupBy(text.alias("attributes")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("attr_map_nested", """
+SELECT custkey, levels, v, '{"v":' || v || '}' AS json FROM nested""", NESTED)
+def attr_map_nested(spark, sf):
+    attributes = F.col("attributes")
+    return fixtures.nested_attributes(spark, sf).select(
+        big("c_custkey", "custkey"), big("levels"), to_map(attributes)["v"].alias("v"), attributes_json(attributes).alias("json"))
+
+
+@query("attr_strindex_nested", """
+SELECT custkey, levels, 'v' AS key, v FROM nested""", NESTED)
+def attr_strindex_nested(spark, sf):
+    """Indices at every level of a value, resolved and rendered."""
+    resolved = fixtures.nested_attributes(spark, sf).select(
+        "c_custkey", "levels", F.get(resolve_attributes(F.col("indexed"), F.col("strings")), F.lit(0)).alias("a"))
+    return resolved.select(big("c_custkey", "custkey"), big("levels"), "a.key", native_text(F.col("a.value")).alias("v"))
+
+
 @query("row_json", """
 SELECT CAST(time_ns AS VARCHAR) AS time, CAST(severity_number AS VARCHAR) AS severity, event_type, service,
   CAST(k AS VARCHAR) AS k, CAST(NULL AS VARCHAR) AS flags, body_string AS body,

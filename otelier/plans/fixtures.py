@@ -453,6 +453,32 @@ def profile_rows(spark: SparkSession, sf: str) -> DataFrame:
     return flatten_profiles(profile_packets(spark, sf))
 
 
+# ---------------------------------------------------------------- nested values
+
+NEST_LEVELS = 6
+
+
+def nested_attributes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as attribute lists: `v` is a list that holds the market segment 1 to 6 levels deep, and the key. In
+    `indexed` all texts and keys of `v` are indices into `strings`."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", (F.col("c_custkey") % NEST_LEVELS + 1).alias("levels"))
+
+    def wire(text: Column, key: str) -> Column:
+        for level in range(2, NEST_LEVELS + 1):
+            inner = F.concat(F.lit(f'{{"kvlistValue":{{"values":[{{{key},"value":'), text, F.lit("}]}}")) if level % 2 else F.concat(
+                F.lit('{"arrayValue":{"values":['), text, F.lit("]}}"))
+            text = F.when(F.col("levels") >= level, inner).otherwise(text)
+        return F.concat(F.lit('{"values":['), text, F.lit(',{"intValue":"'), F.col("c_custkey").cast("string"), F.lit('"}]}'))
+
+    literal = wire(F.concat(F.lit('{"stringValue":"'), F.col("c_mktsegment"), F.lit('"}')), '"key":"k"')
+    by_index = wire(F.lit('{"stringValueStrindex":1}'), '"keyStrindex":2')
+    indexed_value = typed_struct(ANY_VALUE_INDEXED, array_value=by_index)
+    return customers.select(
+        "c_custkey", "levels", F.array(make_attribute("v", "array_value", literal)).alias("attributes"),
+        F.array(F.struct(F.lit("").alias("key"), F.lit(3).alias("key_strindex"), indexed_value.alias("value"))).alias("indexed"),
+        F.array(F.lit(""), F.col("c_mktsegment"), F.lit("k"), F.lit("v")).alias("strings"))
+
+
 PACKETS = {"logs": log_packets, "spans": span_packets, "metrics": metric_packets, "profiles": profile_packets}
 
 

@@ -5,7 +5,7 @@ Each constant is the text of one common table expression; `with_tables` puts the
 
 from __future__ import annotations
 
-from otelier.plans.fixtures import BOUNDS, EXP_BUCKETS, LOGS_PER_PACKET, ORDERS_PER_PACKET, TURNS_PER_PACKET
+from otelier.plans.fixtures import BOUNDS, EXP_BUCKETS, LOGS_PER_PACKET, NEST_LEVELS, ORDERS_PER_PACKET, TURNS_PER_PACKET
 
 
 def hx(number: str, digits: int) -> str:
@@ -144,5 +144,18 @@ frames AS (
 )"""
 
 
+# a customer's segment and key in lists (even levels) and dicts (odd ones), as plain JSON
+_WRAPPED = "'\"' || c_mktsegment || '\"'"
+for _level in range(2, NEST_LEVELS + 1):
+    _inner = f"""'{{"k":' || ({_WRAPPED}) || '}}'""" if _level % 2 else f"'[' || ({_WRAPPED}) || ']'"
+    _WRAPPED = f"CASE WHEN c_custkey % {NEST_LEVELS} + 1 >= {_level} THEN {_inner} ELSE {_WRAPPED} END"
+NESTED = f"""
+nested AS (
+  SELECT CAST(c_custkey AS BIGINT) AS custkey, CAST(c_custkey % {NEST_LEVELS} + 1 AS BIGINT) AS levels,
+    '[' || ({_WRAPPED}) || ',' || c_custkey || ']' AS v
+  FROM customer
+)"""
+
+
 def with_tables(query: str, *tables: str) -> str:
     return "WITH " + ",\n".join(t.strip() for t in tables) + "\n" + query.strip()

@@ -22,6 +22,8 @@ RECOMMENDED = {
     # splits a hot (trace, span) key of a join into several tasks
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # plans here hold thousands of expressions; recording the Python line of each takes half the time to build them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
