@@ -19,7 +19,7 @@ from otelier.operators.flatten import (
 from otelier.operators.profiles_flatten import flatten_profiles
 from otelier.schemas import (
     ANY_VALUE_INDEXED, BUCKETS, DICTIONARY, EXEMPLAR, KEY_VALUE, LOG_RECORD, METRIC, METRIC_KINDS, PROFILE, QUANTILE,
-    RESOURCE, SCOPE, SPAN_EVENT, SPAN_RECORD, STATUS, camel, packet_schema,
+    RESOURCE, SCOPE, SPAN_EVENT, SPAN_RECORD, STATUS, camel, packet_schema, snake,
 )
 
 ORDERS_PER_PACKET = 1000
@@ -485,21 +485,25 @@ PACKETS = {"logs": log_packets, "spans": span_packets, "metrics": metric_packets
 # ---------------------------------------------------------------- JSON
 
 
-def _encode(value: Column, dtype: T.DataType) -> Column:
+def _encode(value: Column, dtype: T.DataType, spelling) -> Column:
     if isinstance(dtype, T.StructType):
-        fields = [_encode(value[f.name], f.dataType).alias(camel(f.name)) for f in dtype.fields]
+        fields = [_encode(value[f.name], f.dataType, spelling).alias(spelling(f.name)) for f in dtype.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
     if isinstance(dtype, T.ArrayType):
-        return F.transform(value, lambda x: _encode(x, dtype.elementType))
-    if isinstance(dtype, T.LongType):
+        return F.transform(value, lambda x: _encode(x, dtype.elementType, spelling))
+    if isinstance(dtype, T.LongType) or isinstance(dtype, T.DoubleType) and spelling is snake:
         return value.cast("string")
     if isinstance(dtype, T.BinaryType):
         return F.base64(value)
     return value
 
 
-def encode_packets(packets: DataFrame, signal: str) -> DataFrame:
-    """Packets as JSON text, one per row in `value`, as an exporter writes them."""
-    fields = [_encode(F.col(f.name), f.dataType).alias(f.name) for f in packet_schema(signal).fields]
-    return packets.select(F.to_json(F.struct(*fields)).alias("value"))
+def packet_text(signal: str, spelling=camel) -> Column:
+    """A packet as JSON, as an exporter writes it. With `snake` as spelling of the field names doubles are texts too, which the
+    encoding allows."""
+    return F.to_json(F.struct(*[_encode(F.col(f.name), f.dataType, spelling).alias(spelling(f.name)) for f in packet_schema(signal).fields]))
+
 
+def encode_packets(packets: DataFrame, signal: str) -> DataFrame:
+    """Packets as JSON text, one per row in `value`."""
+    return packets.select(packet_text(signal).alias("value"))

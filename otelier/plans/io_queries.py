@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from otelier.operators.metrics import metric_exploded
 from otelier.plans import fixtures
-from otelier.plans.fixtures import encode_packets
+from otelier.plans.fixtures import packet_text
 from otelier.plans.metric_queries import _EXPLODED, point_key, prepared
 from otelier.plans.oracle import LOGS, POINTS, PROFILES, SPANS, STATS, micros_text
 from otelier.plans.registry import attribute, hexed, query
-from otelier.schemas import SIGNALS
+from otelier.schemas import SIGNALS, snake
 from otelier.session import scratch_path
 from otelier.sources.flat import (
     SMALL_FILES, read_flat, read_hourly, read_signal, run_metadata, with_event_time, with_run_metadata, write_all,
@@ -33,14 +33,23 @@ def log_view(rows: DataFrame) -> DataFrame:
         attribute("attributes", "k", "k").cast("bigint"), *hexed("trace_id", "span_id"))
 
 
+#: Lines that are no packets: cut off, an unknown field at the top, one in a record, one in a nested value.
+BROKEN = ('{"resourceLogs": [{', '{"resourceLogz":[]}', '{"resource_logs":[{"scopeLogs":[{"log_records":[{"colour":1}]}]}]}',
+          '{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"body":{"arrayValue":{"values":[{"textValue":"x"}]}}}]}]}]}')
+
+
 def write_packets(spark: SparkSession, sf: str, signal: str, copies: int = 1, broken: bool = False) -> str:
-    """Packets of a signal as a directory of JSON lines; `broken` adds a line that is no packet."""
+    """Packets of a signal as a directory of JSON lines; with `broken`, about half of them with field names in snake_case,
+    and lines that are no packets."""
     path = scratch_path(spark, f"packets-{signal}")
-    lines = encode_packets(fixtures.PACKETS[signal](spark, sf), signal)
+    text = packet_text(signal)
+    if broken:
+        text = F.when(F.xxhash64("batch_UUID") % 2 == 0, packet_text(signal, snake)).otherwise(text)
+    lines = fixtures.PACKETS[signal](spark, sf).select(text.alias("value"))
     for _ in range(copies):
         lines.write.mode("append").text(path)
     if broken:
-        spark.range(1).select(F.lit('{"resourceLogs": [{').alias("value")).write.mode("append").text(path)
+        spark.createDataFrame([(line,) for line in BROKEN], "value string").write.mode("append").text(path)
     return path
 
 
@@ -86,14 +95,14 @@ def json_source(spark, sf):
     return log_view(read_signal(spark, "logs", "raw", write_packets(spark, sf, "logs", broken=True)))
 
 
-@query("src_raw_json_rejected", """
-SELECT CAST(count(DISTINCT batch) AS BIGINT) AS parsed, CAST(1 AS BIGINT) AS rejected,
-  '{"resourceLogs": [{' AS payload FROM logs""", LOGS)
+@query("src_raw_json_rejected", f"""
+SELECT CAST(count(DISTINCT batch) AS BIGINT) AS parsed, CAST({len(BROKEN)} AS BIGINT) AS rejected,
+  '{" ".join(sorted(BROKEN))}' AS payloads FROM logs""", LOGS)
 def rejected_packets(spark, sf):
     packets = read_packets(spark, "logs", write_packets(spark, sf, "logs", broken=True))
     lost = F.col("corrupt_record")
     return packets.agg(F.count_if(lost.isNull()).alias("parsed"), F.count_if(lost.isNotNull()).alias("rejected"),
-                       F.min("corrupt_record").alias("payload"))
+                       F.array_join(F.array_sort(F.collect_list(lost)), " ").alias("payloads"))
 
 
 @query("src_dispatch", counts_sql(("raw", "flat")), LOGS, SPANS, POINTS, PROFILES)

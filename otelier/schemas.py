@@ -267,6 +267,10 @@ def camel(name: str) -> str:
     return re.sub(r"_(\w)", lambda m: m.group(1).upper(), name)
 
 
+def snake(name: str) -> str:
+    return re.sub(r"[A-Z]", lambda m: "_" + m.group(0).lower(), name)
+
+
 # ids that the hex flavour of the JSON encoding writes in hex; other bytes are always base64
 ID_FIELDS = ("traceId", "spanId", "parentSpanId", "profileId")
 
@@ -276,7 +280,7 @@ SIGNED = {"int_value", "as_int", "intValue", "asInt", "scale", "offset", "value"
 
 
 def wire_schema(dtype: T.DataType, id_encoding: str = "base64", name: str = "") -> T.DataType:
-    """JSON form of a packet type: camelCase names; integers arrive as text (or as a number, read as text).
+    """JSON form of a packet type: camelCase names; numbers arrive as text (or as a number, read as text).
 
     Bytes in base64 are decoded by the JSON parser; hex ids are text.
     """
@@ -285,8 +289,22 @@ def wire_schema(dtype: T.DataType, id_encoding: str = "base64", name: str = "")
             T.StructField(camel(f.name), wire_schema(f.dataType, id_encoding, camel(f.name))) for f in dtype.fields])
     if isinstance(dtype, T.ArrayType):
         return T.ArrayType(wire_schema(dtype.elementType, id_encoding, name))
-    if isinstance(dtype, (T.IntegerType, T.LongType)):
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.DoubleType)):
         return T.StringType()
     if isinstance(dtype, T.BinaryType) and id_encoding == "hex" and name in ID_FIELDS:
         return T.StringType()
     return dtype
+
+
+#: The field names within nested attribute values, which a schema does not reach.
+VALUE_FIELDS = ("stringValue", "boolValue", "intValue", "doubleValue", "arrayValue", "kvlistValue", "bytesValue", "stringValueStrindex",
+                "values", "key", "keyStrindex", "value")
+
+
+def field_names(dtype: T.DataType) -> set[str]:
+    """The JSON names of all fields of a packet type."""
+    if isinstance(dtype, T.ArrayType):
+        return field_names(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return {camel(f.name) for f in dtype.fields}.union(VALUE_FIELDS, *[field_names(f.dataType) for f in dtype.fields])
+    return set()

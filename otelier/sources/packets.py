@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from otelier.functions.expressions import compute_once, let
-from otelier.schemas import ENUMS, SIGNED, camel, packet_schema, wire_schema
+from otelier.functions.nested import STRING, apply, bound, replaced
+from otelier.schemas import ENUMS, SIGNED, camel, field_names, packet_schema, wire_schema
 
 CORRUPT = "corrupt_record"
 
@@ -20,13 +21,14 @@ def _enum_number(value: Column, names: tuple[str, ...]) -> Column:
 
 
 def _whole_number(text: Column, dtype: T.DataType, name: str) -> Column:
-    """Text to a number; unsigned fields wrap around where the signed type that stores them ends."""
-    if name in SIGNED:
-        return F.coalesce(text.try_cast(dtype), text.try_cast("decimal(20,0)").try_cast(dtype))
-    bits = 31 if isinstance(dtype, T.IntegerType) else 63
+    """Text to a number; unsigned fields wrap around where the signed type that stores them ends. Decimals are made only
+    of what does not fit at once."""
     number = text.try_cast("decimal(20,0)")
-    wrapped = F.when(number >= F.lit(str(1 << bits)).cast("decimal(20,0)"), number - F.lit(str(1 << bits + 1)).cast("decimal(20,0)"))
-    return F.coalesce(wrapped, number).try_cast(dtype)
+    if name not in SIGNED:
+        bits = 31 if isinstance(dtype, T.IntegerType) else 63
+        wrapped = number - F.lit(str(1 << bits + 1)).cast("decimal(20,0)")
+        number = F.when(number >= F.lit(str(1 << bits)).cast("decimal(20,0)"), wrapped).otherwise(number)
+    return F.coalesce(text.try_cast(dtype), number.try_cast(dtype))
 
 
 def _conform(col: Column, dtype: T.DataType, name: str, id_encoding: str) -> Column:
@@ -43,31 +45,54 @@ def _conform(col: Column, dtype: T.DataType, name: str, id_encoding: str) -> Col
         return F.transform(col, lambda x: _conform(x, dtype.elementType, name, id_encoding))
     if isinstance(dtype, (T.IntegerType, T.LongType)):
         return _whole_number(col, dtype, name)
+    if isinstance(dtype, T.DoubleType):
+        return col.try_cast(dtype)
     if wire_schema(dtype, id_encoding, camel(name)) != dtype:
         return F.try_to_binary(col, F.lit("hex"))
     return col
 
 
+#: A field name in snake_case. What follows a string that ends never begins with a letter, so no text can look like one.
+_SNAKE = r'"([a-z][a-z0-9]*+(?:_[a-z0-9]++)++)"\s*+:'
+
+
+def _camel_names(payload: str) -> str:
+    """SQL for a JSON text with all field names in camelCase; the encoding allows both spellings."""
+    parts = "split(g, '_')"
+    name = f"concat('\"', {parts}[0], array_join(transform(slice({parts}, 2, 99), p -> initcap(p)), ''), '\":')"
+    return replaced(payload, _SNAKE, name, "snake")
+
+
+def _known_names(text: str, schema: T.StructType) -> str:
+    """SQL for whether a JSON text is made of strings that are no field names, known field names, and the rest."""
+    names = "|".join(sorted(field_names(schema)))
+    return rf"""{text} RLIKE r'\A(?:[^"]++|"(?:{names})"\s*+:|{STRING}(?!\s*+:))*+\z'"""
+
+
 def parse_packets(raw: DataFrame, signal: str, id_encoding: str = "base64") -> DataFrame:
     """Rows (`payload`, `position`, `batch_timestamp`) -> typed packets.
 
-    `corrupt_record` holds the payload of a packet that is not valid JSON of this signal, otherwise null. Such a
-    packet has no content, so it can go through a flatten as it is and gives no rows.
+    Field names may be in camelCase or snake_case, numbers may be texts. `corrupt_record` holds the payload of a packet
+    that is not valid JSON of this signal or has a field that no part of it knows, at any level; otherwise it is null.
+    (A known field at a level that does not have it is ignored.) Such a packet has no content, so it can go through a
+    flatten as it is and gives no rows.
     The packet id hashes source position and payload: the same packet gets the same id when a task runs again.
     """
     schema = packet_schema(signal)
     wire = wire_schema(schema, id_encoding).add(CORRUPT, T.StringType())
+    known = apply(F.col("payload"), f"p -> {bound(_camel_names('p'), 'c', f"CASE WHEN {_known_names('c', schema)} THEN c END")}")
 
     def convert(wire_packet: Column) -> Column:
-        fits = wire_packet[CORRUPT].isNull()
+        fits = wire_packet["json"].isNotNull() & wire_packet["packet"][CORRUPT].isNull()
         return F.struct(
-            *[F.when(fits, _conform(wire_packet[f.name], f.dataType, f.name, id_encoding)).alias(f.name)
+            *[F.when(fits, _conform(wire_packet["packet"][f.name], f.dataType, f.name, id_encoding)).alias(f.name)
               for f in schema.fields],
-            wire_packet[CORRUPT].alias(CORRUPT),
+            F.when(~fits, F.col("payload")).alias(CORRUPT),
         )
 
     # one expression from text to typed packet: parsed once, and converted before it is written to a row
-    parsed = F.from_json("payload", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = let(known, lambda json: F.struct(json.alias("json"), F.from_json(json, wire, options).alias("packet")))
     packet_id = F.md5(F.concat_ws("|", "position", "payload")).alias("batch_UUID")
     return compute_once(raw, ["batch_timestamp", packet_id], let(parsed, convert), "_packet").select(
         "batch_timestamp", "batch_UUID", "_packet.*")

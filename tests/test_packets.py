@@ -1,8 +1,12 @@
 """Reading packets: JSON flavours, rejection, ids; and rows back to packets."""
 
+import json
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from otelier.functions.anyvalue import attributes_json
 from otelier.operators.flatten import flatten_logs, flatten_metrics, flatten_spans
 from otelier.operators.packets import deflatten
 from otelier.plans import fixtures
@@ -135,3 +139,63 @@ def test_unsigned_numbers_wrap(spark):
         {"timeUnixNano": str(2 ** 63 + 5), "asInt": "-7"}, {"timeUnixNano": "1e3", "asInt": "9223372036854775807"}]}}]}]}]}
     rows = flatten_metrics(packets(spark, "metrics", packet).drop("corrupt_record"))
     assert rows_of(rows, "time_unix_nano", "sum_int") == [(-(2 ** 63) + 5, -7), (1000, 2 ** 63 - 1)]
+
+
+# ---------------------------------------------------------------- names and forms of the JSON encoding
+
+
+def snake(x):
+    if isinstance(x, list):
+        return [snake(i) for i in x]
+    if isinstance(x, dict):
+        return {re.sub("[A-Z]", lambda m: "_" + m[0].lower(), k): snake(v) for k, v in x.items()}
+    return x
+
+
+LOG = {"resourceLogs": [{"resource": {"attributes": [{"key": "service.name", "value": {"stringValue": "a_b"}}], "droppedAttributesCount": 2},
+                         "schemaUrl": "u", "scopeLogs": [{"scope": {"name": "s", "version": "1"}, "logRecords": [
+                             {"timeUnixNano": "17", "severityNumber": 9, "body": {"doubleValue": "1.5"}, "traceId": "0a", "attributes": [
+                                 {"key": "k", "value": {"arrayValue": {"values": [{"intValue": "3"}, {"kvlistValue": {"values": [
+                                     {"key": "not_a_field", "value": {"stringValue": '"snake_case": 1'}}]}}]}}}]}]}]}]}
+
+
+def test_both_spellings_of_field_names(spark):
+    seen = []
+    for packet in (LOG, snake(LOG)):
+        rows = flatten_logs(packets(spark, "logs", packet))
+        seen.append(rows_of(rows.drop("batch_UUID"), "time_unix_nano", "severity_number", "body_double", "resource_dropped_attributes_count",
+                            F.to_json("attributes"), F.to_json("resource_attributes"), "resource_schema_url", F.hex("trace_id")))
+        text = rows.select(attributes_json(F.col("attributes"))).first()[0]
+        assert json.loads(text) == {"k": [3, {"not_a_field": '"snake_case": 1'}]}
+    assert seen[0] == seen[1] and seen[0][0][:4] == (17, 9, 1.5, 2)
+
+
+@pytest.mark.parametrize("packet,good", [
+    ({"resourceLogz": []}, False), ({"resourceLogs": [{"scopeLogs": [{"logRecords": [{"colour": 1}]}]}]}, False),
+    ({"resourceLogs": [{"scopeLogs": [{"logRecords": [{"body": {"arrayValue": {"values": [{"textValue": "x"}]}}}]}]}]}, False),
+    ({"resourceLogs": [{"scopeLogs": [{"logRecords": [{"body": {"stringValue": "x"}, "attributes": [
+        {"key": ",", "value": {"stringValue": ':\\"x": {"colour":'}}, {"key": "{", "value": {"stringValue": "y" * 100_000}}]}]}]}]}, True),
+    ({"resourceLogs": [{"scopeLogs": [{"logRecords": [{"body": {"doubleValue": "1.5"}}, {"body": {"doubleValue": "-Infinity"}}]}]}]}, True),
+    ({"resourceLogs": [], "resource_logs": []}, True), ({}, True)])
+def test_unknown_fields_are_rejected(spark, packet, good):
+    read = packets(spark, "logs", packet)
+    assert (accepted(read).count(), rejected(read).count()) == ((1, 0) if good else (0, 1))
+    if not good:
+        assert rejected(read).first()["corrupt_record"] == json.dumps(packet)
+
+
+def test_names_in_lists_of_texts(spark):
+    """Texts next to each other in a list can look like fields."""
+    packet = {"resourceProfiles": [], "dictionary": {"stringTable": ["x,", ":z", "{", '":', "a", ":", "string_table"]}}
+    read = packets(spark, "profiles", packet)
+    assert accepted(read).select("dictionary.stringTable").first()[0] == packet["dictionary"]["stringTable"]
+    assert accepted(packets(spark, "profiles", snake(packet))).select("dictionary.stringTable").first()[0] == packet["dictionary"]["stringTable"]
+
+
+def test_numbers_as_texts(spark):
+    point = {"asDouble": "2.5", "attributes": [{"key": "a", "value": {"doubleValue": "NaN"}}]}
+    hist = {"count": "3", "sum": "7.25", "bucketCounts": ["1", 2], "explicitBounds": ["0.5"], "max": "Infinity"}
+    packet = {"resourceMetrics": [{"scopeMetrics": [{"metrics": [{"name": "g", "gauge": {"dataPoints": [point]}}, {"name": "h", "histogram": {"dataPoints": [hist]}}]}]}]}
+    rows = flatten_metrics(packets(spark, "metrics", packet))
+    assert rows_of(rows, "name", "gauge_double", "histogram_sum", "histogram_max", "histogram_explicit_bounds", "histogram_bucket_counts") == [
+        ("g", 2.5, None, None, [], []), ("h", None, 7.25, float("inf"), [0.5], [1, 2])]
