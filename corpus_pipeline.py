@@ -26,11 +26,16 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of similar documents the one with the smallest id stays, once. Rows without an id stay."""
+    """Of similar documents the one with the smallest id stays, once; texts that share an id are documents of their own,
+    told apart by 64 bits. Rows without an id stay."""
     reachable(spark)
-    groups = similar_components(docs.select("doc_id", "text"), size=5, percent=80)
-    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("doc_id", "text").alias("body"))
+    groups = similar_components(named.select("body", "text"), size=5, percent=80, key="body").select("body", "component_id").distinct()
+    members = staged(named.select("doc_id", "body").distinct().join(groups, "body"), "members")
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "body")).alias("first")).select("first.*")
+    # ids and bodies are no hot keys, however large a group is
+    copies = members.select("doc_id", "body").join(first, ["doc_id", "body"], "left_anti")
+    kept = docs.withColumn("body", F.xxhash64("doc_id", "text")).join(copies, ["doc_id", "body"], "left_anti").drop("body").select(docs.columns)
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("n_chars")
     kept = kept.withColumn("__n", F.row_number().over(same))
     return kept.where("__n = 1 OR doc_id IS NULL").drop("__n")

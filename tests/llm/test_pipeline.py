@@ -60,6 +60,17 @@ def test_stages_on_awkward_and_empty_tables(spark, sf):
     assert kept.where("doc_id = 6").count() == 1 and kept.where("doc_id IS NULL").count() == 1
 
 
+def test_texts_that_share_an_id(spark, sf):
+    """A unique text stays though another one under its id is a copy; of two similar texts under one id one stays."""
+    text = lambda seed: " ".join(f"word{seed}x{i}" for i in range(40))
+    rows = [(1, text(1)), (2, text(1)), (2, text(2)), (3, text(3)), (3, text(3) + " more"), (4, text(2) + " end"), (4, ""), (5, ""), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, sf)
+    got = sorted((r["doc_id"], r["text"]) for r in kept.where("text IS NOT NULL").collect())
+    threes = [t for i, t in got if i == 3]
+    assert [r for r in got if r[0] != 3] == [(1, text(1)), (2, text(2)), (4, ""), (5, "")] and len(threes) == 1
+
+
 def test_every_operator_has_a_query():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
