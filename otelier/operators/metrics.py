@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from otelier.functions.anyvalue import any_value, last_value
 from otelier.functions.expressions import column
 from otelier.functions.histograms import exp_hist_buckets, hist_buckets, histogram_statistics
-from otelier.functions.series import DAY, delta, with_previous
-from otelier.operators.relational import group_sum
+from otelier.functions.series import delta, with_previous
 
 START, TIME = "start_time_unix_nano", "time_unix_nano"
 
@@ -74,17 +73,13 @@ def gauge_series(df: DataFrame, name: str, **where) -> DataFrame:
 # ---------------------------------------------------------------- sums
 
 
-def sum_by_emitter(df: DataFrame, name: str, by_session: bool = True, value: str = "sum_int") -> DataFrame:
-    """Sum of the sub-series of a metric per emitter (and session) and time.
-
-    `sum_int` adds whole numbers exactly and is null where a point is a double; `sum_value` adds all points as doubles.
-    """
+def sum_by_emitter(df: DataFrame, name: str, by_session: bool = True) -> DataFrame:
+    """Sum of the sub-series of a metric per emitter (and session) and time, by the type of its points: `sum_int` adds whole
+    numbers exactly and is null where a point is a double, `sum_value` adds all points as doubles."""
     keys = ["emitter", START, TIME] if by_session else ["emitter", TIME]
-    points = df.filter(F.col("name") == name)
-    if value == "sum_value":
-        return group_sum(points.withColumn("sum_value", number_value()), keys, "sum_value")
+    points = df.filter(F.col("name") == name).withColumn("_value", number_value())
     exact = F.when(F.count_if(F.col("sum_type") == "AS_DOUBLE") == 0, F.sum("sum_int"))
-    return points.groupBy(*keys).agg(exact.alias("sum_int"))
+    return points.groupBy(*keys).agg(exact.alias("sum_int"), F.sum("_value").alias("sum_value"))
 
 
 def first_session(df: DataFrame) -> DataFrame:
@@ -93,16 +88,25 @@ def first_session(df: DataFrame) -> DataFrame:
     return df.join(first, "emitter").filter(F.col(START) == F.col("_first")).drop("_first")
 
 
-def sum_delta(sums: DataFrame, slices: tuple[int, ...] = (DAY,), value: str = "sum_int") -> DataFrame:
-    """Cumulative sums to differences (`sum_delta`) inside a session: a reset starts from zero again."""
-    points = with_previous(sums, ["emitter", START], TIME, [value], slices)
-    return points.withColumn("sum_delta", delta(value)).drop("_previous")
+#: Differences of the columns of sum_by_emitter.
+_DELTAS = {"sum_int": "sum_delta", "sum_value": "sum_delta_value"}
+
+
+def _with_deltas(sums: DataFrame, series: list[str], ranges: int | None) -> DataFrame:
+    names = {c: d for c, d in _DELTAS.items() if c in sums.columns}
+    points = with_previous(sums, series, TIME, list(names), ranges)
+    return points.withColumns({d: delta(c) for c, d in names.items()}).drop("_previous")
+
+
+def sum_delta(sums: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Cumulative sums to differences inside a session; a reset starts from zero again. `sum_delta` is that of `sum_int`, exact
+    and null where a sum holds doubles, `sum_delta_value` that of `sum_value`; each where its column is there."""
+    return _with_deltas(sums, ["emitter", START], ranges)
 
 
-def sum_delta_naive(sums: DataFrame, slices: tuple[int, ...] = (DAY,), value: str = "sum_int") -> DataFrame:
+def sum_delta_naive(sums: DataFrame, ranges: int | None = None) -> DataFrame:
     """The same over a whole emitter: differences are wrong where a session ends. For comparison only."""
-    points = with_previous(sums, ["emitter"], TIME, [value], slices)
-    return points.withColumn("sum_delta", delta(value)).drop("_previous")
+    return _with_deltas(sums, ["emitter"], ranges)
 
 
 def session_gaps(df: DataFrame, series: list[str]) -> DataFrame:
@@ -112,7 +116,7 @@ def session_gaps(df: DataFrame, series: list[str]) -> DataFrame:
     """
     sessions = df.groupBy(*[column(c) for c in series], START).agg(
         F.min(TIME).alias("first_time"), F.max(TIME).alias("last_time"), F.count(F.lit(1)).alias("points"))
-    chained = with_previous(sessions, series, START, ["last_time"], (365 * DAY,))
+    chained = with_previous(sessions, series, START, ["last_time"])
     return (
         chained.filter(F.col("_previous").isNotNull())
         .withColumn("previous_start", F.col("_previous")[START])
@@ -143,16 +147,16 @@ def hist_series(df: DataFrame, name: str, attributes: list[str]) -> DataFrame:
         *[column(a) for a in attributes], "population_stat", START, TIME)
 
 
-def hist_stat_delta(exploded: DataFrame, series: list[str], slices: tuple[int, ...] = (DAY,)) -> DataFrame:
+def hist_stat_delta(exploded: DataFrame, series: list[str], ranges: int | None = None) -> DataFrame:
     """Differences of one statistic over time; `series` are the identity columns besides session and statistic."""
-    points = with_previous(exploded, [*series, START, "population_stat"], TIME, ["value"], slices)
+    points = with_previous(exploded, [*series, START, "population_stat"], TIME, ["value"], ranges)
     return points.withColumn("value_delta", delta("value")).drop("_previous")
 
 
-def hist_interval_mean(df: DataFrame, series: list[str], slices: tuple[int, ...] = (DAY,)) -> DataFrame:
+def hist_interval_mean(df: DataFrame, series: list[str], ranges: int | None = None) -> DataFrame:
     """Mean per interval: difference of sums / difference of counts, null for an interval without events."""
     points = df.filter(F.col("type") == "HISTOGRAM")
-    points = with_previous(points, [*series, START], TIME, ["histogram_sum", "histogram_count"], slices)
+    points = with_previous(points, [*series, START], TIME, ["histogram_sum", "histogram_count"], ranges)
     return points.withColumn(
         "interval_mean", delta("histogram_sum") / F.nullif(delta("histogram_count"), F.lit(0))).drop("_previous")
 
@@ -190,14 +194,14 @@ def metric_exploded(df: DataFrame) -> DataFrame:
     return df.select(*[column(c) for c in base], F.inline(values))
 
 
-def value_delta(exploded: DataFrame, series: list[str] | None = None, slices: tuple[int, ...] = (DAY,)) -> DataFrame:
+def value_delta(exploded: DataFrame, series: list[str] | None = None, ranges: int | None = None) -> DataFrame:
     """`value_delta` and `prev_time_unix_nano` per series, in order of time; first point: the value itself and 0.
 
     A series is what shares all columns but time and value, unless `series` names the columns.
     """
     if series is None:
         series = [c for c in exploded.columns if c not in (TIME, "value")]
-    points = with_previous(exploded, series, TIME, ["value"], slices)
+    points = with_previous(exploded, series, TIME, ["value"], ranges)
     return (
         points.withColumn("value_delta", delta("value"))
         .withColumn("prev_time_unix_nano", F.coalesce(F.col("_previous")[TIME], F.lit(0)))

@@ -79,8 +79,8 @@ def gauge_line(spark, sf):
 
 
 @query("sum_by_emitter", """
-SELECT emitter, time_ns AS time_unix_nano, start_ns AS start_time_unix_nano, CAST(sum(sum_int) AS BIGINT) AS sum_int
-FROM points WHERE name = 'app.events' GROUP BY emitter, start_ns, time_ns""", POINTS)
+SELECT emitter, time_ns AS time_unix_nano, start_ns AS start_time_unix_nano, CAST(sum(sum_int) AS BIGINT) AS sum_int,
+  CAST(sum(sum_int) AS DOUBLE) AS sum_value FROM points WHERE name = 'app.events' GROUP BY emitter, start_ns, time_ns""", POINTS)
 def by_emitter(spark, sf):
     return sum_by_emitter(prepared(spark, sf), "app.events")
 
@@ -103,7 +103,7 @@ SELECT emitter, start_ns AS start_time_unix_nano, time_ns AS time_unix_nano, sum
   sum_int - lag(sum_int, 1, 0) OVER (PARTITION BY emitter, start_ns ORDER BY time_ns) AS sum_delta
 FROM sums""", POINTS, _SUMS)
 def deltas(spark, sf):
-    return sum_delta(sum_by_emitter(prepared(spark, sf), "app.events"))
+    return sum_delta(sum_by_emitter(prepared(spark, sf), "app.events").drop("sum_value"))
 
 
 @query("sum_delta_naive", """
@@ -111,7 +111,7 @@ SELECT emitter, start_ns AS start_time_unix_nano, time_ns AS time_unix_nano, sum
   sum_int - lag(sum_int, 1, 0) OVER (PARTITION BY emitter ORDER BY time_ns, sum_int) AS sum_delta
 FROM sums""", POINTS, _SUMS)
 def naive_deltas(spark, sf):
-    return sum_delta_naive(sum_by_emitter(prepared(spark, sf), "app.events"))
+    return sum_delta_naive(sum_by_emitter(prepared(spark, sf), "app.events").drop("sum_value"))
 
 
 @query("sum_delta_double", """
@@ -123,7 +123,9 @@ def double_deltas(spark, sf):
     points = prepared(spark, sf).withColumns({
         "sum_type": F.when(F.col("type") == "SUM", "AS_DOUBLE"), "sum_double": F.col("sum_int") / 4,
         "sum_int": F.lit(None).cast("bigint")})
-    return sum_delta(sum_by_emitter(points, "app.events", value="sum_value"), value="sum_value")
+    sums = sum_delta(sum_by_emitter(points, "app.events"))
+    return sums.filter("sum_int IS NULL AND sum_delta IS NULL").select(
+        "emitter", "start_time_unix_nano", "time_unix_nano", "sum_value", F.col("sum_delta_value").alias("sum_delta"))
 
 
 @query("session_gaps", """

@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from otelier.functions.anyvalue import any_value, attributes_json, last_value, to_map
 from otelier.functions.expressions import number_text, running_totals
 from otelier.functions.histograms import bucket_labels, exp_hist_buckets, hist_buckets
+from otelier.functions import series as functions_series
 from otelier.functions.series import with_previous
 from otelier.operators.attributes import (
     attribute_keys, drop_empty_columns, drop_empty_rows, fill_blank, json_value, native_types, split_columns,
@@ -126,18 +127,27 @@ def expected_previous(rows, series, time):
     return out
 
 
-@pytest.mark.parametrize("slices", [(), (1,), (7,), (10_000,), (7, 50), (3, 11, 200)])
-def test_previous_point_does_not_depend_on_slices(spark, slices):
+@pytest.mark.parametrize("ranges,drawn", [(1, 40), (2, 40), (7, 3), (40, 1), (300, 2), (None, 40)])
+def test_previous_point_does_not_depend_on_ranges(spark, monkeypatch, ranges, drawn):
+    monkeypatch.setattr(functions_series, "DRAWN", drawn)
     random.seed(4)
     # a hot series with most points, ties in time, a null key, and sparse series that skip slices
     rows = [{"id": i, "k": random.choice(["hot"] * 6 + ["a", "b", None]), "t": random.choice([0, 3, *range(0, 900, 11)]),
              "v": random.randint(0, 10 ** 6)} for i in range(600)]
     df = spark.createDataFrame(rows, "id int, k string, t bigint, v bigint")
-    got = with_previous(df, ["k"], "t", ["v"], slices).collect()
+    got = with_previous(df, ["k"], "t", ["v"], ranges).collect()
     assert {r["id"]: r["_previous"] and tuple(r["_previous"]) for r in got} == expected_previous(rows, ["k"], "t")
     assert len(got) == len(rows)
 
 
+def test_large_inputs_are_cut_into_ranges(spark, monkeypatch):
+    df = spark.range(500).selectExpr("id % 2 AS k", "id AS t", "id AS v")
+    assert "_range" not in with_previous(df, ["k"], "t", ["v"])._jdf.queryExecution().toString()
+    monkeypatch.setattr(functions_series, "ONE_TASK", 100)
+    cut = with_previous(df, ["k"], "t", ["v"])
+    assert "_range" in cut._jdf.queryExecution().toString() and cut.where("_previous.v = v - 2").count() == 498
+
+
 def sums(spark, rows):
     return spark.createDataFrame(rows, "emitter string, start_time_unix_nano bigint, time_unix_nano bigint, sum_int bigint")
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from otelier.functions.series import with_previous
+from otelier.functions.series import _bounds, with_previous
 from otelier.operators.flatten import flatten_logs, flatten_spans
 from otelier.operators.relational import count_rows, dedup_rows, dedup_subset, filter_id, filter_valid
 from otelier.operators.packets import deflatten
@@ -71,15 +71,21 @@ def test_copies_are_combined_before_the_shuffle(spark):
     assert plan_of(dedup_rows(df)).split("Exchange hashpartitioning", 1)[1].count("HashAggregate") >= 1
 
 
-def test_series_windows_are_sliced(spark):
-    hot = (F.col("id") % 3 == 7).cast("string").alias("k")
-    df = spark.range(1000).select(hot, F.col("id").alias("t"), F.col("id").alias("v")).repartition(4)
-    sliced = with_previous(df, ["k"], "t", ["v"], (10,))
-    assert len(sliced.collect()) == 1000
-    plan = plan_of(sliced)
-    # the points are shuffled once, by series and slice, and both branches read that shuffle
-    assert plan.split("== Initial Plan ==")[0].count("ReusedExchange") == 1
-    assert "_slice" in plan.split("Exchange hashpartitioning(", 1)[1].split(")")[0]
+def test_series_are_cut_into_ranges(spark):
+    """A series that holds all points, within one second, is many tasks; the points are exchanged, sorted and windowed once."""
+    hot = F.lit("k").alias("k")
+    df = spark.range(100_000).select(hot, F.col("id").alias("t"), F.col("id").alias("v")).repartition(4)
+    found = with_previous(df, ["k"], "t", ["v"], 16)
+    assert found.where("_previous.t = t - 1 AND _previous.v = v - 1").count() == 99_999
+    plan = plan_of(found)
+    initial = plan.split("== Initial Plan ==")[-1]
+    # over all points: one exchange by range, read by the window and by the last points of the ranges
+    assert initial.count("Exchange hashpartitioning(_range") <= 2 and "RangePartitioning" not in plan
+    sizes = [r["n"] for r in found.groupBy(F.floor(F.col("t") / 6250).alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 16
+    bounds = _bounds(df, [F.col("k")], "t", 16)
+    cut = sorted(t for _, t in bounds)
+    assert len(cut) == 15 and max(b - a for a, b in zip([0, *cut], [*cut, 100_000])) < 3 * 100_000 / 16
 
 
 def test_parents_are_found_without_sorted_aggregation(stored):
