@@ -16,10 +16,11 @@ from otelier.plans.registry import attribute, hexed, query
 from otelier.schemas import SIGNALS, snake
 from otelier.session import scratch_path
 from otelier.sources.flat import (
-    SMALL_FILES, read_flat, read_hourly, read_signal, run_metadata, with_event_time, with_run_metadata, write_all,
+    SMALL_FILES, file_sizes, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata, write_all,
     write_flat, write_hourly, write_prepared,
 )
 from otelier.sources.packets import read_packets, stream_packets
+from otelier.streaming.ingest import ingest, read_counters
 from otelier.streaming.pipelines import stream_dedup, stream_rows, write_stream
 
 LOG_SQL = """
@@ -62,12 +63,12 @@ CONTENT = {
 }
 
 
-def counts_sql(layouts: tuple[str, ...]) -> str:
+def counts_sql(layouts: tuple[str, ...], signals: tuple[str, ...] = SIGNALS) -> str:
     """Rows per signal and layout, with sums over a number and over the length of a text."""
     return " UNION ALL ".join(
         f"SELECT '{s}' AS signal, '{layout}' AS layout, count(*) AS n, CAST(sum({number} % 1000003) AS BIGINT) AS numbers, "
         f"CAST({f'sum(length({text}))' if text else 0} AS BIGINT) AS texts FROM {t}"
-        for s, (_, number, t, _, text) in CONTENT.items() for layout in layouts)
+        for s, (_, number, t, _, text) in CONTENT.items() if s in signals for layout in layouts)
 
 
 def counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
@@ -117,10 +118,59 @@ def dispatch(spark, sf):
 
 @query("src_stream", LOG_SQL, LOGS)
 def stream_source(spark, sf):
-    packets = stream_packets(spark, "logs", "text", {"path": write_packets(spark, sf, "logs")})
-    out = scratch_path(spark, "stream")
-    write_stream(stream_rows(packets, "logs"), "logs", f"{out}/logs", f"{out}/checkpoint", once=True).awaitTermination()
-    return log_view(read_flat(spark, "logs", f"{out}/logs"))
+    return log_view(ingested(spark, "logs", write_packets(spark, sf, "logs")))
+
+
+def ingested(spark: SparkSession, signal: str, packets: str, **options) -> DataFrame:
+    """The flat rows of a directory of packets by way of a stream."""
+    out = scratch_path(spark, "ingest")
+    ingest(spark, signal, out, f"{out}/checkpoint", options={"path": packets, **options}, once=True).awaitTermination()
+    return read_flat(spark, signal, f"{out}/rows")
+
+
+@query("src_dispatch_stream", counts_sql(("raw", "flat")), LOGS, SPANS, POINTS, PROFILES)
+def dispatch_streams(spark, sf):
+    """All signals and layouts as streams."""
+    tables = {}
+    for signal in SIGNALS:
+        raw = ingested(spark, signal, write_packets(spark, sf, signal))
+        tables[signal, "raw"] = raw
+        out = scratch_path(spark, "stream")
+        flat = stream_signal(spark, signal, "flat", write_flat(raw, signal, f"{out}/in"))
+        write_stream(flat, signal, f"{out}/{signal}", f"{out}/checkpoint", once=True).awaitTermination()
+        tables[signal, "flat"] = read_flat(spark, signal, f"{out}/{signal}")
+    return counts(tables)
+
+
+@query("stream_lineage", """
+SELECT CAST(2 * count(DISTINCT batch) AS BIGINT) AS packets, CAST(2 * count(*) AS BIGINT) AS n,
+  CAST(2 * count(DISTINCT batch) AS BIGINT) AS same_ids FROM logs""", LOGS)
+def stream_lineage(spark, sf):
+    """Every line twice in one file: twice the packets, with the ids that a batch read gives them."""
+    path = scratch_path(spark, "twice")
+    lines = spark.read.text(write_packets(spark, sf, "logs"))
+    lines.select(F.explode(F.array("value", "value")).alias("value")).coalesce(1).write.text(path)
+    streamed = ingested(spark, "logs", path).groupBy("batch_UUID").agg(F.count(F.lit(1)).alias("n"))
+    read = read_packets(spark, "logs", path).select("batch_UUID", F.lit(1).alias("read"))
+    return streamed.join(read, "batch_UUID", "left").agg(
+        F.count_distinct("batch_UUID").alias("packets"), F.sum("n").alias("n"), F.count("read").alias("same_ids"))
+
+
+@query("stream_counters", """
+SELECT 'profiles' AS signal, count(*) AS items, count(*) FILTER (WHERE NOT is_valid) AS dropped,
+  count(DISTINCT batch) AS packets, count(DISTINCT batch) FILTER (WHERE NOT is_valid) AS partly,
+  count(DISTINCT batch) - count(DISTINCT batch) FILTER (WHERE NOT is_valid) AS succeeded,
+  CAST(1 AS BIGINT) AS rejected_packets, CAST(3 AS BIGINT) AS batches FROM profile_rows""", PROFILES)
+def stream_counters(spark, sf):
+    """Counters of a stream that takes three batches; one of its packets is broken."""
+    path, out = scratch_path(spark, "packets-profiles"), scratch_path(spark, "ingest")
+    lines = fixtures.PACKETS["profiles"](spark, sf).select(packet_text("profiles").alias("value"))
+    lines.unionByName(spark.createDataFrame([('{"resourceProfilez":[]}',)], "value string")).repartition(3, F.rand(1)).write.text(path)
+    ingest(spark, "profiles", out, f"{out}/checkpoint", options={"path": path, "maxFilesPerTrigger": "1"}, once=True).awaitTermination()
+    return read_counters(spark, out).select(
+        "signal", F.col("request_items").alias("items"), F.col("dropped_request_items").alias("dropped"),
+        (F.col("packets") - F.col("rejected_packets")).alias("packets"), F.col("partially_succeeded_requests").alias("partly"),
+        F.col("succeeded_requests").alias("succeeded"), "rejected_packets", "batches")
 
 
 @query("event_time", f"""
@@ -138,13 +188,21 @@ def event_times(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("snk_flat", """
-SELECT count(*) AS n, true AS within_limit FROM spans""", SPANS)
+SMALL = 256 << 10
+
+
+@query("snk_flat", f"""
+SELECT n, numbers, texts, true AS within_limits, true AS several_files FROM ({counts_sql(("flat",), ("spans",))})""", SPANS)
 def flat_sink(spark, sf):
-    path = write_flat(fixtures.spans(spark, sf), "spans", scratch_path(spark, "sink"), **SMALL_FILES)
-    per_file = read_flat(spark, "spans", path).groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n"))
-    limit = SMALL_FILES["max_records_per_file"]
-    return per_file.agg(F.sum("n").alias("n"), (F.max("n") <= limit).alias("within_limit"))
+    """What was written, and whether each file keeps the limits of rows and bytes."""
+    limits = {**SMALL_FILES, "max_file_bytes": SMALL}
+    path = write_flat(fixtures.spans(spark, sf), "spans", scratch_path(spark, "sink"), **limits)
+    back = read_flat(spark, "spans", path)
+    rows = back.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    files = file_sizes(spark, path).join(rows, "file").agg(
+        (F.max("bytes") <= SMALL).alias("small"), (F.max("rows") <= limits["max_records_per_file"]).alias("few"), F.count("*").alias("files"))
+    return counts({("spans", "flat"): back}).join(files.withColumn("signal", F.lit("spans")), "signal").select(
+        "n", "numbers", "texts", F.expr("small AND few").alias("within_limits"), F.expr("files > 1").alias("several_files"))
 
 
 # ten days in the middle of the events
@@ -165,15 +223,15 @@ def hourly_sink(spark, sf):
     return every.join(window, ["hour", "severity_text"], "left").fillna(0, ["in_window"])
 
 
-@query("snk_run_meta", """
-SELECT 'nightly' AS run, 'eu-1' AS site, count(*) AS n FROM logs""", LOGS)
+@query("snk_run_meta", f"""
+SELECT 'nightly' AS run, 'eu-1' AS site, n, numbers, texts FROM ({counts_sql(("flat",), ("logs",))})""", LOGS)
 def metadata_sink(spark, sf):
     rows = with_run_metadata(fixtures.logs(spark, sf), {"run": "nightly", "site": "eu-1"})
     path = write_flat(rows, "logs", scratch_path(spark, "metadata"))
     back = spark.read.parquet(path)
     found = run_metadata(back)
-    return back.groupBy().agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(found.get("run")).alias("run"), F.lit(found.get("site")).alias("site"), "n")
+    return counts({("logs", "flat"): back}).select(
+        F.lit(found.get("run")).alias("run"), F.lit(found.get("site")).alias("site"), "n", "numbers", "texts")
 
 
 @query("snk_signals", counts_sql(("flat",)), LOGS, SPANS, POINTS, PROFILES)
@@ -196,11 +254,10 @@ def prepared_sink(spark, sf):
 SELECT strftime(date_trunc('hour', make_timestamp(time_ns // 1000)), '%Y-%m-%d %H') AS hour, service,
   severity_text, count(*) AS n, CAST(sum(k) AS BIGINT) AS k FROM logs GROUP BY 1, 2, 3""", LOGS)
 def streamed(spark, sf):
-    packets = stream_packets(spark, "logs", "text", {"path": write_packets(spark, sf, "logs")})
     out = scratch_path(spark, "stream")
-    write_stream(stream_rows(packets, "logs"), "logs", f"{out}/logs", f"{out}/checkpoint", hourly=True,
-                 once=True).awaitTermination()
-    rows = spark.read.parquet(f"{out}/logs")
+    ingest(spark, "logs", out, f"{out}/checkpoint", options={"path": write_packets(spark, sf, "logs")}, hourly=True,
+           once=True).awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows")
     return rows.groupBy(
         F.date_format("event_hour", "yyyy-MM-dd HH").alias("hour"),
         attribute("resource_attributes", "service.name", "service"), "severity_text",

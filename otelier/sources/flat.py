@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from otelier.functions.expressions import NANOS_PER_HOUR, nanos_to_timestamp
+from otelier.functions.expressions import NANOS_PER_HOUR, column, nanos_to_timestamp
 from otelier.operators.flatten import flatten_logs, flatten_metrics, flatten_spans
 from otelier.operators.profiles_flatten import flatten_profiles
 from otelier.schemas import EVENT_TIME, FLAT_DDL, flat_schema
+from otelier.session import scratch_path
 from otelier.sources.packets import read_packets, stream_packets
 
 FLATTEN = {
@@ -73,14 +74,52 @@ def read_hourly(spark: SparkSession, signal: str, path: str, start_nanos: int, e
 # ---------------------------------------------------------------- out
 
 # The limits of one output file that small collectors use. Too small for a large cluster; pass them where wanted.
-SMALL_FILES = {"row_group_bytes": 1 << 20, "max_records_per_file": 10_000}
+SMALL_FILES = {"row_group_bytes": 1 << 20, "max_records_per_file": 10_000, "max_file_bytes": 10 << 20}
+
+#: How much smaller than the limit files are planned, as rows of a file do not compress alike.
+_MARGIN = 1.5
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(file, bytes) of a table's files; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+
+
+def _in_small_files(df: DataFrame, max_file_bytes: int) -> DataFrame:
+    """The rows dealt to as many tasks as there must be files, each of them for one file below the limit.
+
+    Sizes are known only once rows are encoded: the table is written to the scratch folder first. A file that came out too
+    large is cut, in its order, where the share of its text length says so.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "unlimited")
+    df.write.parquet(path)
+    pieces = F.ceil(F.col("bytes") * _MARGIN / max_file_bytes)
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    plan = file_sizes(spark, path).withColumn("pieces", pieces).withColumn("first", F.coalesce(F.sum("pieces").over(before), F.lit(0)))
+    total = plan.agg(F.sum("pieces")).first()[0]
+    if not total:
+        return df
+    stored = spark.read.schema(df.schema).parquet(path)
+    rows = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"),
+                         F.octet_length(F.to_json(F.struct(*[column(c) for c in df.columns]))).alias("_size"))
+    in_file = Window.partitionBy("_file")
+    upto = in_file.orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
+    share = F.coalesce(F.sum("_size").over(upto), F.lit(0)) / F.sum("_size").over(in_file)
+    dealt = rows.withColumn("_share", share).join(plan, F.col("_file") == F.col("file"))
+    piece = (F.col("first") + F.floor(F.col("_share") * F.col("pieces"))).cast("int")
+    return dealt.withColumn("_piece", piece).repartitionById(int(total), "_piece").select(*[column(c) for c in df.columns])
 
 
 def write_flat(
     df: DataFrame, signal: str, base: str, row_group_bytes: int | None = None,
-    max_records_per_file: int | None = None,
+    max_records_per_file: int | None = None, max_file_bytes: int | None = None,
 ) -> str:
-    """Append rows to the flat table of a signal in `base/<signal>` and return its path. No shuffle."""
+    """Append rows to the flat table of a signal in `base/<signal>` and return its path. No shuffle, unless
+    `max_file_bytes` limits the files: then rows are written once more to the scratch folder, to learn their sizes. A single
+    row larger than the limit is a file of its own."""
+    if max_file_bytes:
+        df = _in_small_files(df, max_file_bytes)
     writer = df.write.mode("append")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)

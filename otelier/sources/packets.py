@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from otelier.functions.expressions import compute_once, let
 from otelier.functions.nested import STRING, apply, bound, replaced
@@ -114,37 +114,45 @@ def _file_rows(lines: DataFrame, arrival: Column) -> DataFrame:
                         arrival.alias("batch_timestamp"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Add the number of the line in its task to the position, so that equal lines of a file are told apart. Streams
-    can't number lines; there a packet is known by file and content."""
-    return rows.withColumn("position", F.concat_ws("/", "position", F.monotonically_increasing_id().cast("string")))
+def numbered(rows: DataFrame) -> DataFrame:
+    """Equal payloads at one position told apart: the second and later ones of a file get their number added to it.
+
+    Equal lines can't be told apart by anything else, so the set of positions is the same however the file is split
+    into tasks. Costs one exchange by position and content. A streamed file comes whole in one batch, so its packets get
+    the same positions there.
+    """
+    equal = Window.partitionBy("position", F.md5("payload")).orderBy("batch_timestamp")
+    number = F.row_number().over(equal)
+    return rows.withColumn("position", F.when(number == 1, F.col("position")).otherwise(F.concat_ws("/", "position", number.cast("string"))))
 
 
 def read_packets(spark: SparkSession, signal: str, path: str, id_encoding: str = "base64") -> DataFrame:
     """Read a directory of JSON packets, one per line, as typed nested rows with `corrupt_record`."""
     arrival = F.unix_millis("_metadata.file_modification_time")
-    return parse_packets(_numbered(_file_rows(spark.read.text(path), arrival)), signal, id_encoding)
+    return parse_packets(numbered(_file_rows(spark.read.text(path), arrival)), signal, id_encoding)
 
 
-def stream_packets(
-    spark: SparkSession, signal: str, source: str = "text", options: dict[str, str] | None = None,
-    id_encoding: str = "base64",
-) -> DataFrame:
-    """Continuous ingestion of packets from the earliest position: files (`text`, option `path`) or `kafka`."""
+def stream_payloads(spark: SparkSession, source: str = "text", options: dict[str, str] | None = None) -> DataFrame:
+    """Packets as they come (`payload`, `position`, `batch_timestamp`) from the earliest position: files (`text`, option `path`)
+    or `kafka`."""
     options = dict(options or {})
     if source == "kafka":
         options.setdefault("startingOffsets", "earliest")
         messages = spark.readStream.format("kafka").options(**options).load()
-        raw = messages.select(
+        return messages.select(
             F.col("value").cast("string").alias("payload"),
             F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
             .alias("position"),
             F.unix_millis("timestamp").alias("batch_timestamp"),
         )
-    else:
-        # a replayed file arrives now, whatever its age
-        arrival = F.unix_millis(F.current_timestamp())
-        raw = _file_rows(spark.readStream.format(source).options(**options).load(), arrival)
-    return parse_packets(raw, signal, id_encoding)
+    # a replayed file arrives now, whatever its age
+    return _file_rows(spark.readStream.format(source).options(**options).load(), F.unix_millis(F.current_timestamp()))
 
 
+def stream_packets(
+    spark: SparkSession, signal: str, source: str = "text", options: dict[str, str] | None = None,
+    id_encoding: str = "base64",
+) -> DataFrame:
+    """Typed packets as a stream. Equal lines of one file share their id, since a stream can't number them;
+    `streaming.ingest` does."""
+    return parse_packets(stream_payloads(spark, source, options), signal, id_encoding)

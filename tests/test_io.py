@@ -1,16 +1,20 @@
 """Sinks, hourly partitions, run metadata and streams."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from otelier.operators.packets import deflatten, packet_outcome
 from otelier.plans import fixtures
 from otelier.plans.fixtures import encode_packets
 from otelier.session import scratch_path
 from otelier.sources.flat import (
-    FLATTEN, SMALL_FILES, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata,
+    FLATTEN, SMALL_FILES, file_sizes, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata,
     write_all, write_flat, write_hourly,
 )
-from otelier.sources.packets import stream_packets
+from otelier.sources.packets import read_packets, stream_packets
+from otelier.streaming.ingest import ingest, read_counters
 from otelier.streaming.pipelines import stream_dedup, stream_rows, write_stream
 from tests.test_packets import text
 
@@ -124,3 +128,63 @@ def test_flat_tables_as_streams(spark, sf, tmp_path):
     assert files.agg(F.max("count")).first()[0] <= 2
     with pytest.raises(ValueError):
         stream_signal(spark, "logs", "other", path)
+
+
+# ---------------------------------------------------------------- limits of files, streams batch by batch
+
+
+def test_files_stay_below_a_size(spark, tmp_path):
+    """Rows of very different size, a third of them in one long text each."""
+    rows = spark.range(6000).select(F.col("id").alias("time_unix_nano"), F.when(F.col("id") % 3 == 0, F.concat(
+        *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(10)])).otherwise("x").alias("severity_text")).coalesce(2)
+    path = write_flat(rows, "logs", str(tmp_path), max_file_bytes=200_000)
+    sizes = [r["bytes"] for r in file_sizes(spark, path).collect()]
+    assert max(sizes) <= 200_000 and sum(sizes) > 1_000_000 and len(sizes) < 20 * sum(sizes) / 200_000
+    assert spark.read.parquet(path).agg(F.count("*"), F.sum("time_unix_nano")).first()[:] == (6000, sum(range(6000)))
+    assert write_flat(rows.limit(0), "logs", str(tmp_path / "none"), max_file_bytes=100)
+
+
+LINES = ['{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"eventName":"e%d"}]}]}]}' % (i % 7) for i in range(40)]
+
+
+def ids(df):
+    return sorted(r["batch_UUID"] for r in df.select("batch_UUID").collect())
+
+
+def test_ids_do_not_depend_on_splits_or_streams(spark, tmp_path):
+    """Equal lines of a file are packets of their own, with the same ids however the file is read."""
+    source = str(tmp_path / "in")
+    spark.createDataFrame([(x,) for x in LINES], "value string").coalesce(1).write.text(source)
+    whole = ids(read_packets(spark, "logs", source))
+    assert len(set(whole)) == 40
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        assert ids(read_packets(spark, "logs", source)) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    out = str(tmp_path / "out")
+    ingest(spark, "logs", out, f"{out}/checkpoint", options={"path": source}, once=True).awaitTermination()
+    rows = read_flat(spark, "logs", f"{out}/rows")
+    assert ids(rows) == whole
+    assert packet_outcome(rows, "logs").count() == 40 and deflatten(rows, "logs").count() == 40
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(x,) for x in LINES], "value string").repartition(4).write.text(source)
+
+    def run():
+        ingest(spark, "logs", out, f"{out}/checkpoint", options={"path": source, "maxFilesPerTrigger": "1"}, hourly=True, once=True).awaitTermination()
+        return ids(spark.read.parquet(f"{out}/rows"))
+
+    first = run()
+    batches = sorted(int(n) for n in os.listdir(f"{out}/checkpoint/commits") if n.isdigit())
+    assert len(first) == 40 and len(batches) == 4
+    # as if the driver had died before the last batch was marked as done
+    for name in (str(batches[-1]), f".{batches[-1]}.crc"):
+        if os.path.exists(f"{out}/checkpoint/commits/{name}"):
+            os.unlink(f"{out}/checkpoint/commits/{name}")
+    assert run() == first
+    total = read_counters(spark, out).first()
+    assert (total["packets"], total["request_items"], total["rejected_packets"], total["batches"]) == (40, 40, 0, 4)

@@ -8,7 +8,8 @@ from otelier.plans.registry import ORACLES, QUERIES
 from run_queries import TABLES, canonical
 
 WRITING = {"src_flat", "src_raw_json", "src_raw_json_rejected", "src_dispatch", "src_stream", "snk_flat", "snk_hourly",
-           "snk_run_meta", "snk_signals", "snk_prepared", "stream_flat", "stream_dedup"}
+           "snk_run_meta", "snk_signals", "snk_prepared", "stream_flat", "stream_dedup", "src_dispatch_stream", "stream_lineage",
+           "stream_counters"}
 
 
 @pytest.fixture(scope="module")
