@@ -1,14 +1,16 @@
-"""Profile packets to flat rows: the dictionary is resolved inside the packet row, then values are exploded."""
+"""Profile packets to flat rows: the tables of a packet's dictionary travel with its samples, which are resolved few at a time."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from otelier.functions.anyvalue import resolve_attributes, resolve_text, resolve_value, with_defaults
-from otelier.functions.expressions import explode_level, let, or_empty
+from otelier.functions.expressions import compute_once, explode_level, let, or_empty
 from otelier.operators.flatten import RESOURCE_COLUMNS, SCOPE_COLUMNS, flat_row, with_lineage
 from otelier.schemas import KEY_VALUE_UNIT, LOCATION
 
+#: Samples that are resolved together: their stacks are what a row holds at once, beside the dictionary.
+CHUNK = 64
 BAD_VALUES = "a profile sample has a different number of values than of timestamps"
 
 
@@ -61,15 +63,15 @@ def _locations(dictionary: Column, mappings: Column, functions: Column, attribut
     ))
 
 
-def _sample(s: Column, stacks: Column, attributes: Column, links: Column) -> Column:
+def _sample(s: Column, tables: Column) -> Column:
     # no link table: no link; otherwise index 0 is an entry like any other
-    link = F.when(F.size(or_empty(links)) > 0, F.get(links, _index(s["linkIndex"])))
+    link = F.when(F.size(or_empty(tables["links"])) > 0, F.get(tables["links"], _index(s["linkIndex"])))
     values = F.coalesce(s["values"], F.array().cast("array<bigint>"))
     times = F.coalesce(s["timestampsUnixNano"], F.array().cast("array<bigint>"))
     unequal = (F.size(values) > 0) & (F.size(times) > 0) & (F.size(values) != F.size(times))
     return F.struct(
-        F.get(stacks, _index(s["stackIndex"])).alias("stack"),
-        _pick(s["attributeIndices"], attributes, KEY_VALUE_UNIT).alias("attributes"),
+        _pick(F.get(tables["stacks"], _index(s["stackIndex"]))["locationIndices"], tables["locations"], LOCATION).alias("stack"),
+        _pick(s["attributeIndices"], tables["attributes"], KEY_VALUE_UNIT).alias("attributes"),
         link["traceId"].alias("trace_id"),
         link["spanId"].alias("span_id"),
         F.arrays_zip(values.alias("value"), times.alias("timestamp")).alias("values"),
@@ -77,26 +79,19 @@ def _sample(s: Column, stacks: Column, attributes: Column, links: Column) -> Col
     )
 
 
-def _profile(p: Column, strings: Column, stacks: Column, attributes: Column, links: Column) -> Column:
-    def value_type(v: Column) -> Column:
-        return F.struct(
-            resolve_text(strings, v["typeStrindex"]).alias("type"),
-            resolve_text(strings, v["unitStrindex"]).alias("unit"),
-        )
+def _tables(dictionary: Column) -> Column:
+    """The dictionary with attributes and locations resolved, each once. Stacks stay lists of indices: resolved, they would
+    repeat their locations."""
+    strings = dictionary["stringTable"]
 
-    return F.struct(
-        p["profileId"].alias("profile_id"),
-        _pick(p["attributeIndices"], attributes, KEY_VALUE_UNIT).alias("profile_attributes"),
-        p["droppedAttributesCount"].alias("profile_dropped_attributes_count"),
-        p["originalPayloadFormat"].alias("original_payload_format"),
-        p["originalPayload"].alias("original_payload"),
-        p["timeUnixNano"].alias("time_unix_nano"),
-        p["durationNano"].alias("duration_nano"),
-        value_type(p["periodType"]).alias("period_type"),
-        p["period"].alias("period"),
-        value_type(p["sampleType"]).alias("sample_type"),
-        F.transform(p["samples"], lambda s: _sample(s, stacks, attributes, links)).alias("samples"),
-    )
+    def struct(attributes: Column, locations: Column) -> Column:
+        return F.struct(strings.alias("strings"), attributes.alias("attributes"), locations.alias("locations"),
+                        or_empty(dictionary["stackTable"]).alias("stacks"), dictionary["linkTable"].alias("links"))
+
+    return let(_attributes(dictionary, strings), lambda attributes: let(
+        _functions(dictionary, strings), lambda functions: let(
+            _mappings(dictionary, strings, attributes), lambda mappings: let(
+                _locations(dictionary, mappings, functions, attributes), lambda locations: struct(attributes, locations)))))
 
 
 PROFILE_COLUMNS = ("profile_id", "profile_attributes", "profile_dropped_attributes_count",
@@ -104,52 +99,17 @@ PROFILE_COLUMNS = ("profile_id", "profile_attributes", "profile_dropped_attribut
                    "period_type", "period", "sample_type")
 
 
-def resolve_dictionary(packets: DataFrame, default_resource_attributes: str | None = None) -> DataFrame:
-    """Replace every table index of a profile packet by the content it points to, in column `resourceProfiles`.
-
-    Each dictionary table is resolved once per packet (`let`); samples then pick ready entries by index.
-    """
+def _profile_columns(p: Column, tables: Column) -> list[Column]:
+    def value_type(v: Column) -> Column:
+        return F.struct(
+            resolve_text(tables["strings"], v["typeStrindex"]).alias("type"),
+            resolve_text(tables["strings"], v["unitStrindex"]).alias("unit"),
+        )
 
-    def resolve(dictionary: Column) -> Column:
-        strings = dictionary["stringTable"]
-        links = dictionary["linkTable"]
-
-        def tree(attributes: Column, stacks: Column) -> Column:
-            def resource(r: Column) -> Column:
-                received = resolve_attributes(r["resource"]["attributes"], strings)
-                if default_resource_attributes:
-                    received = with_defaults(received, default_resource_attributes)
-                return F.struct(
-                    received.alias("resource_attributes"),
-                    r["resource"]["droppedAttributesCount"].alias("resource_dropped_attributes_count"),
-                    r["resource"]["entityRefs"].alias("resource_entity_refs"),
-                    r["schemaUrl"].alias("resource_schema_url"),
-                    F.transform(r["scopeProfiles"], lambda s: F.struct(
-                        s["scope"]["name"].alias("scope_name"),
-                        s["scope"]["version"].alias("scope_version"),
-                        resolve_attributes(s["scope"]["attributes"], strings).alias("scope_attributes"),
-                        s["scope"]["droppedAttributesCount"].alias("scope_dropped_attributes_count"),
-                        s["schemaUrl"].alias("profile_schema_url"),
-                        F.transform(s["profiles"], lambda p: _profile(p, strings, stacks, attributes, links))
-                        .alias("profiles"),
-                    )).alias("scopes"),
-                )
-
-            return F.transform("resourceProfiles", resource)
-
-        def stacks_of(locations: Column) -> Column:
-            return F.transform(or_empty(dictionary["stackTable"]),
-                               lambda s: _pick(s["locationIndices"], locations, LOCATION))
-
-        return let(_attributes(dictionary, strings), lambda attributes: let(
-            _functions(dictionary, strings), lambda functions: let(
-                _mappings(dictionary, strings, attributes), lambda mappings: let(
-                    _locations(dictionary, mappings, functions, attributes), lambda locations: let(
-                        stacks_of(locations), lambda stacks: tree(attributes, stacks))))))
-
-    return with_lineage(packets).select(
-        "batch_timestamp", "batch_UUID", resolve(F.col("dictionary")).alias("resourceProfiles")
-    )
+    columns = (p["profileId"], _pick(p["attributeIndices"], tables["attributes"], KEY_VALUE_UNIT), p["droppedAttributesCount"],
+               p["originalPayloadFormat"], p["originalPayload"], p["timeUnixNano"], p["durationNano"],
+               value_type(p["periodType"]), p["period"], value_type(p["sampleType"]))
+    return [c.alias(name) for name, c in zip(PROFILE_COLUMNS, columns)]
 
 
 def _fields(struct: str, names) -> list[Column]:
@@ -160,30 +120,49 @@ def flatten_profiles(packets: DataFrame, default_resource_attributes: str | None
     """One row per sample value. The five positions count from 0 in their parent, empty parents included.
 
     Values and timestamps of a sample are paired by position and one list may be empty. Lists of unequal length
-    give rows that are marked invalid.
+    give rows that are marked invalid. Stacks are resolved for `CHUNK` samples at a time, so no row holds those of a
+    whole packet.
     """
     head = ["batch_timestamp", "batch_UUID"]
+    dictionary = let(F.col("dictionary"), _tables)
     resources = explode_level(
-        resolve_dictionary(packets, default_resource_attributes), head, "resourceProfiles", "resource_seq_no", "_r")
+        compute_once(with_lineage(packets), [*head, "resourceProfiles"], dictionary, "_d"), [*head, "_d"], "resourceProfiles", "resource_seq_no", "_r")
 
     head += ["resource_seq_no"]
-    resources = resources.select(*head, *_fields("_r", RESOURCE_COLUMNS), F.col("_r.scopes").alias("_scopes"))
+    tables = F.col("_d")
+    received = resolve_attributes(F.col("_r.resource.attributes"), tables["strings"])
+    if default_resource_attributes:
+        received = with_defaults(received, default_resource_attributes)
+    resources = resources.select(
+        *head, "_d", received.alias("resource_attributes"),
+        F.col("_r.resource.droppedAttributesCount").alias("resource_dropped_attributes_count"),
+        F.col("_r.resource.entityRefs").alias("resource_entity_refs"), F.col("_r.schemaUrl").alias("resource_schema_url"),
+        F.col("_r.scopeProfiles").alias("_scopes"))
     head += RESOURCE_COLUMNS
-    scopes = explode_level(resources, head, "_scopes", "scope_seq_no", "_s")
+    scopes = explode_level(resources, [*head, "_d"], "_scopes", "scope_seq_no", "_s")
 
-    scope_fields = [*SCOPE_COLUMNS, "profile_schema_url"]
-    scopes = scopes.select(*head, "scope_seq_no", *_fields("_s", scope_fields), F.col("_s.profiles").alias("_profiles"))
-    head += ["scope_seq_no", *scope_fields]
-    profiles = explode_level(scopes, head, "_profiles", "profile_seq_no", "_p")
+    scopes = scopes.select(
+        *head, "_d", "scope_seq_no", F.col("_s.scope.name").alias("scope_name"), F.col("_s.scope.version").alias("scope_version"),
+        resolve_attributes(F.col("_s.scope.attributes"), tables["strings"]).alias("scope_attributes"),
+        F.col("_s.scope.droppedAttributesCount").alias("scope_dropped_attributes_count"),
+        F.col("_s.schemaUrl").alias("profile_schema_url"), F.col("_s.profiles").alias("_profiles"))
+    head += ["scope_seq_no", *SCOPE_COLUMNS, "profile_schema_url"]
+    profiles = explode_level(scopes, [*head, "_d"], "_profiles", "profile_seq_no", "_p")
 
     head += ["profile_seq_no"]
-    profiles = profiles.select(*head, *_fields("_p", PROFILE_COLUMNS), F.col("_p.samples").alias("_samples"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(or_empty(F.col("_p.samples"))), F.lit(1)), F.lit(CHUNK))
+    chunks = F.transform(starts, lambda i: F.slice("_p.samples", i, F.lit(CHUNK)))
+    profiles = profiles.select(*head, "_d", *_profile_columns(F.col("_p"), tables), chunks.alias("_chunks"))
     head += PROFILE_COLUMNS
-    samples = explode_level(profiles, head, "_samples", "sample_seq_no", "_sample")
+    chunked = explode_level(profiles, [*head, "_d"], "_chunks", "_chunk_no", "_chunk")
+
+    chunked = chunked.select(*head, "_chunk_no", let(tables, lambda d: F.transform("_chunk", lambda s: _sample(s, d))).alias("_samples"))
+    samples = explode_level(chunked, [*head, "_chunk_no"], "_samples", "_in_chunk", "_sample")
 
     sample_fields = ["stack", "attributes", "trace_id", "span_id", "unequal"]
     samples = samples.select(
-        *head, "sample_seq_no", *_fields("_sample", sample_fields), F.col("_sample.values").alias("_values"))
+        *head, (F.col("_chunk_no") * CHUNK + F.col("_in_chunk")).alias("sample_seq_no"), *_fields("_sample", sample_fields),
+        F.col("_sample.values").alias("_values"))
     head += ["sample_seq_no", *sample_fields]
     values = explode_level(samples, head, "_values", "value_seq_no", "_value")
 
