@@ -9,8 +9,8 @@ Which token ends at a position follows from the encodings of shorter prefixes: e
 own encoding and stays as it is next to the token before it. That holds for any merge order by rank of the merged piece.
 
 No piece has a word mark behind another character, and unknown characters (bytes) never merge, so texts are cut there:
-a chunk that begins so maps every state to the same one. Long stretches without a cut are chunked by length; their maps
-are applied side by side to guessed states, and a scan over neighbours replaces guesses until all agree.
+a chunk that begins so maps every state to the same one. Long stretches without a cut are chunked by length. Every chunk
+gets its map from the states that chunks before it can leave to, all side by side; the maps are composed pairwise.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ MARK = "▁"
 LIMIT = 4096
 #: Characters of a chunk within a stretch without cuts.
 CHUNK = 64
+#: Rounds in which maps are extended to further states, for all chunks side by side.
+ROUNDS = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -179,22 +181,76 @@ class Transducer:
         if len(self.states) > self.MAX_STATES:
             self.reset()
         lengths = ends - starts
-        chunks = np.maximum(1, -(-lengths // CHUNK))
+        out = np.zeros(len(starts), dtype=np.int64)
+        short = np.flatnonzero(lengths <= CHUNK)
+        _, out[short] = self.run(classes, starts[short], lengths[short], np.full(len(short), self.start))
+        long = np.flatnonzero(lengths > CHUNK)
+        if len(long):
+            out[long] = self._count_long(classes, starts[long], ends[long])
+        return out
+
+    def _count_long(self, classes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of stretches of several chunks. Each chunk gets its map from every state that a run before it may leave to
+        (state behind it, tokens); maps are composed pairwise, in as many steps as the number of chunks has digits. Most
+        states forget what was before a chunk, so maps close after two or three rounds. Stretches that keep meeting new
+        states, such as one letter repeated, are chained chunk by chunk, where each distinct (chunk, state) is run once."""
+        chunks = -(-(ends - starts) // CHUNK)
         owner = np.repeat(np.arange(len(starts)), chunks)
         first = np.cumsum(chunks) - chunks
         number = np.arange(len(owner)) - first[owner]
         begin = starts[owner] + number * CHUNK
         size = np.minimum(ends[owner] - begin, CHUNK)
-        entry = np.full(len(owner), self.start)
-        exits, counts = self.run(classes, begin, size, entry)
-        # states behind a chunk are those before the next: run again where the guess was another
-        while True:
-            due = np.where(number > 0, np.concatenate([[self.start], exits[:-1]]), self.start)
-            wrong = np.flatnonzero(due != entry)
-            if not len(wrong):
-                return np.bincount(owner, weights=counts, minlength=len(starts)).astype(np.int64)
-            entry[wrong] = due[wrong]
-            exits[wrong], counts[wrong] = self.run(classes, begin[wrong], size[wrong], due[wrong])
+        more = number < chunks[owner] - 1
+        # equal chunks, told by 64-bit hashes, share their maps
+        _, example, content = np.unique(span_hashes(classes, begin, begin + size), return_index=True, return_inverse=True)
+
+        maps = np.zeros(0, dtype=np.int64)  # sorted keys content << 32 | state
+        exits, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        nodes = np.arange(len(owner), dtype=np.int64) << 32 | self.start  # chunk << 32 | state
+        fresh = nodes
+
+        def looked_up(keys: np.ndarray) -> np.ndarray:
+            return np.searchsorted(maps, content[keys >> 32] << 32 | keys & 0xFFFFFFFF)
+
+        for _ in range(ROUNDS):
+            if not len(fresh):
+                break
+            wanted = np.setdiff1d(content[fresh >> 32] << 32 | fresh & 0xFFFFFFFF, maps)
+            at = example[wanted >> 32]
+            left, added = self.run(classes, begin[at], size[at], wanted & 0xFFFFFFFF)
+            order = np.argsort(np.concatenate([maps, wanted]), kind="stable")
+            maps = np.concatenate([maps, wanted])[order]
+            exits, counts = np.concatenate([exits, left])[order], np.concatenate([counts, added])[order]
+            # what leaves a chunk enters the next
+            onward = fresh[more[fresh >> 32]]
+            fresh = np.setdiff1d(((onward >> 32) + 1) << 32 | exits[looked_up(onward)], nodes)
+            nodes = np.union1d(nodes, fresh)
+
+        out = np.zeros(len(starts), dtype=np.int64)
+        open_ones = np.unique(owner[fresh >> 32])
+        known = {int(k): (int(e), int(n)) for k, e, n in zip(maps, exits, counts)} if len(open_ones) else {}
+        for i in open_ones.tolist():
+            state = self.start
+            for chunk in range(int(first[i]), int(first[i] + chunks[i])):
+                name = int(content[chunk]) << 32 | state
+                if name not in known:
+                    left, added = self.run(classes, begin[chunk:chunk + 1], size[chunk:chunk + 1], np.array([state]))
+                    known[name] = (int(left[0]), int(added[0]))
+                state, n = known[name]
+                out[i] += n
+
+        nodes = nodes[~np.isin(owner[nodes >> 32], open_ones)]
+        found = looked_up(nodes)
+        total = np.append(counts[found], 0)
+        onward = more[nodes >> 32]
+        following = np.full(len(nodes) + 1, len(nodes))  # the last one is behind the end
+        following[:-1][onward] = np.searchsorted(nodes, ((nodes[onward] >> 32) + 1) << 32 | exits[found][onward])
+        for _ in range(int(chunks.max()).bit_length()):
+            total = total + total[following]
+            following = following[following]
+        closed = np.setdiff1d(np.arange(len(starts)), open_ones)
+        out[closed] = total[np.searchsorted(nodes, first[closed] << 32 | self.start)]
+        return out
 
     def count_block(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text. Equal stretches, told by 64-bit hashes, are run once."""

@@ -1,6 +1,7 @@
 """Operators on texts against plain versions, on awkward and on generated documents."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from otelier.llm import licenses
+from otelier.llm import licenses, token_counts
 from otelier.llm.bpe import WordBpe, encode_documents, encoding_digests, merge_heap, merge_scan, read_vocabulary
 from otelier.llm.jaccard import similar_components
 from otelier.llm.line_dedup import dedup_lines
@@ -336,3 +337,23 @@ def test_encoding_of_random_texts():
     word = "".join(rng.choice("etaoin") for _ in range(400))
     start = [int(bpe.inner[ord(c)]) for c in word]
     assert merge_scan(list(start), bpe.rank_of, bpe.made) == merge_heap(list(start), bpe.rank_of, bpe.made)
+
+
+def test_long_runs_by_composed_maps():
+    """Runs without any border, where each chunk depends on the one before: counts of the library, in few rounds."""
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(6)
+    texts = ["a" * n for n in (63, 64, 65, 129, 1000, 20_001)] + ["ab" * 5000 + "c", "".join(rng.choice("ab") for _ in range(9000)),
+             "".join(rng.choice("etaoin") for _ in range(9000)), "=" * 3000 + "-" * 3000, "x" * 200 + "\n" + "0" * 4000, "ha" * 400 + " " + "ha" * 401]
+    machine = token_counts.transducer(token_counts.read_pieces(PIECES))
+    assert list(machine.count_many(texts)) == [len(library.encode(t)) for t in texts]
+    runs, run = [], machine.run
+    machine.run = lambda *a: runs.append(len(a[1])) or run(*a)
+    try:
+        start = time.time()
+        whole = next(machine.count_many(["a" * 2_000_000]))
+        assert time.time() - start < 20 and len(runs) < 100 and sum(runs) < 100_000
+    finally:
+        del machine.run
+    part = len(library.encode("a" * 20_000)) / 20_000
+    assert abs(whole / 2_000_000 - part) < 0.001
