@@ -3,9 +3,10 @@
 Every task packs the documents it reads, in order, with bounded state; nothing is shuffled. Long documents fill whole
 windows first. What is left of a document goes, uncut, to the fill level that minimises the sum over all levels of the
 squared number of partly filled windows at that level, which keeps the levels balanced so that later pieces find a
-partner that fills a window. The counts are an array over levels. When too many windows are open, and at the end, the
-open windows are settled: their pieces are laid end to end and cut at window borders, and the very last rest is cut
-into sequences whose lengths are powers of two, which need no padding.
+partner that fills a window. The counts are an array over levels. At the end of a task the open windows, a few hundred
+however many were filled, are settled: their pieces are laid end to end and cut at window borders, and the very last
+rest is cut into sequences whose lengths are powers of two, which need no padding. Should the memory for open windows
+ever run out before, the fullest few are settled.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ class Packer:
         self.counts = np.zeros(window + 1, dtype=np.int64)
         self.open: dict[int, list[list]] = {}
         self.n_open = 0
+        #: Windows closed by cutting open ones.
+        self.settled = 0
         self.out: list[tuple] = []
 
     def add(self, key, ids: bytes) -> None:
@@ -85,12 +88,18 @@ class Packer:
         self.next_id += 1
 
     def _settle(self, last: bool) -> None:
-        """Lay open windows end to end and cut; unless `last`, what doesn't fill a window stays open."""
+        """Lay open windows end to end and cut: all of them at the end; before that the fullest sixteenth, whose rest stays
+        open as one window."""
         pieces, room, level = [], self.window, 0
-        queue = [p for h in sorted(self.open, reverse=True) for w in self.open[h] for p in w]
+        queue, windows = [], self.n_open if last else max(2, self.n_open // 16)
+        for h in sorted(self.open, reverse=True):
+            while windows and self.open[h]:
+                queue += self.open[h].pop()
+                self.counts[h] -= 1
+                self.n_open -= 1
+                windows -= 1
         rest = sum(len(p[2]) for p in queue) // 4
-        self.open, self.n_open = {}, 0
-        self.counts[:] = 0
+        self.settled += -(-rest // self.window)
         if last:
             room = min(self.window, 1 << (rest.bit_length() - 1)) if rest else 0
         for key, start, ids, n in queue:
@@ -104,8 +113,9 @@ class Packer:
                     if last and rest:
                         room = min(self.window, 1 << (rest.bit_length() - 1))
         if pieces:
-            self.open, self.n_open = {level: [pieces]}, 1
-            self.counts[level] = 1
+            self.open.setdefault(level, []).append(pieces)
+            self.counts[level] += 1
+            self.n_open += 1
 
     def drain(self, last: bool = False) -> list[tuple]:
         if last:
@@ -114,13 +124,13 @@ class Packer:
         return rows
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, max_open: int = 256,
+def pack_documents(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, max_open: int = 4096,
                    text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its token ids, then `end_id`; null text counts as empty, so it is one id. Repeated rows are packed as
     often as they come; a null key stays null; other columns are left out; an empty table gives no rows. A task keeps
-    at most `max_open` open windows of ids. Task number and a running number make up `sequence_id`, so a repeated task
+    at most `max_open` open windows of ids (64 MB by default) and one document whole. Task number and a running number make up `sequence_id`, so a repeated task
     gives the same ids.
     """
     vocabulary, end = read_vocabulary(path), int(end_id).to_bytes(4, "little")

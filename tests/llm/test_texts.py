@@ -282,6 +282,16 @@ def test_packer_bounds_open_windows():
     assert most <= 8 and check_pieces(rows, lambda i: [i] * 3000) == 0
 
 
+def test_few_windows_are_settled():
+    """With the memory it has by default a task closes nearly all windows by placing pieces."""
+    rng = random.Random(3)
+    packer = Packer(4096, 4096, 0)
+    for i in range(30_000):
+        packer.add(i, bytes(4 * int(min(20_000, rng.paretovariate(1.1) * 150))))
+        packer.drain()
+    assert packer.settled == 0 and packer.n_open < 0.1 * packer.next_id
+
+
 # ---------------------------------------------------------------- near copies
 
 
