@@ -5,11 +5,13 @@ bit per row. A query adds the slices of all components, shifted by the digits of
 adders, so that the scores of all rows of a block arise side by side as bitmaps. The best rows are selected from the
 most significant score slice downward; rows that tie at the border are told apart exactly, by id.
 
-Blocks of rows and packs of queries meet in cells; the best of each cell are merged per query.
+Each block is indexed once and all queries stream past it; the best of each block are merged per query.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -17,19 +19,24 @@ from pyspark.sql import DataFrame, functions as F
 from otelier.llm.staging import staged
 from otelier.llm.vectors import best_per_query, usable_vectors
 
-#: Rows of a block and queries of a pack.
-ROWS, QUERIES = 8192, 128
-#: Larger quantised components (in absolute value) could overflow a 64-bit score; vectors that hold one take no part.
-LARGEST = 1 << 27
+#: Rows of a block.
+ROWS = 16_384
 
 
 class SlicedBlock:
     """Bitmaps over the rows (in order of id) of one block. Components are stored from their least value up."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, values = ids[order], values[order]
+    def __init__(self, ids: np.ndarray, values: np.ndarray, names: np.ndarray | None = None):
+        """`names` tell rows apart, where ids do not."""
+        names = ids if names is None else names
+        order = np.lexsort((names, ids))
+        self.ids, values, self.names = ids[order], values[order], names[order]
+        self.place = {int(n): i for i, n in enumerate(self.names)}
         self.rows = len(ids)
+        self.most = int(abs(values).max(initial=0))
+        self.values = values
+        if values.dtype == object:
+            return
         self.words = -(-self.rows // 64)
         self.low = values.min(0)
         above = (values - self.low).T
@@ -99,12 +106,14 @@ class SlicedBlock:
     def _rows_of(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little", count=self.rows))
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query_name: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows but the query's own, in no order."""
+        if self.values.dtype == object or self.most * int(abs(query).max(initial=0)) * len(query) >= 1 << 62:
+            return self._top_large(query_name, query, k)
         slices, offset = self.add_up(query)
         equal = self.all.copy()
-        own = np.searchsorted(self.ids, query_id)
-        if own < self.rows and self.ids[own] == query_id:
+        own = self.place.get(query_name)
+        if own is not None:
             equal[own // 64] &= ~np.uint64(1 << int(own % 64))
         sure = np.zeros_like(equal)
         for s in slices[::-1]:
@@ -124,39 +133,66 @@ class SlicedBlock:
         weights = np.int64(1) << np.arange(len(slices), dtype=np.int64)
         return self.ids[rows], offset + weights @ bits.astype(np.int64)
 
+    def _top_large(self, query_name: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same in whole numbers of any size, where the slices of a score would not fit 63 bits."""
+        scores = self.values.astype(object) @ query.astype(object)
+        rows = sorted((i for i in range(self.rows) if i != self.place.get(query_name)), key=lambda i: -scores[i])[:k]
+        best = [scores[i] for i in rows]
+        if any(abs(x) >= 1 << 63 for x in best):
+            raise OverflowError(f"a score does not fit 64 bits: {max(best, key=abs)}")
+        return self.ids[rows], np.array(best, dtype=np.int64)
+
+
+def quantised(vectors: np.ndarray, scale: float) -> np.ndarray:
+    """floor(scale * component), as numbers of any size where 64 bits could not hold them."""
+    q = np.floor(vectors * scale)
+    if abs(q).max(initial=0) < 1 << 53:
+        return q.astype(np.int64)
+    return np.array([[int(x) for x in row] for row in q], dtype=object)
+
 
 def top_inner_products(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0,
                        key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose key is divisible by `every` the k rows with the largest inner
-    product of floor(scale * component), exactly; all rows if there are fewer. The query's own key is no candidate.
+    product of floor(scale * component), exactly; all rows if there are fewer. The query's own row is no candidate.
+
+    Ties go to the smaller key. Vectors that are null or hold a null or non-finite component take no part; rows with a
+    null key neither. Exact repeats count once; rows that share a key but not the vector are queries and candidates of
+    their own. Vectors are compared with those of as many components. Components may be of any finite size; a result whose
+    score does not fit 64 bits fails. Other columns are left out; an empty table gives no rows.
 
-    Ties go to the smaller key. Vectors that are null or hold a null or non-finite component take no part, nor do those
-    with a quantised component beyond LARGEST; rows with a null key neither. Of rows that share a key the one with the
-    least vector counts. Vectors are compared with those of as many components. Other columns are left out; an empty
-    table gives no rows.
+    Each block of rows goes to one task, is indexed there once, and all queries stream past it.
     """
-    usable = usable_vectors(vectors, key, vector).where(~F.exists("v", lambda x: F.abs(x * scale) >= LARGEST))
-    rows = staged(usable.withColumn("v", F.transform("v", lambda x: F.floor(x * scale))), "quantised")
+    rows = staged(usable_vectors(vectors, key, vector), "usable")
     asked = F.col("id") % every == 0
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(asked).alias("q")).first()
-    blocks, packs = max(1, -(-counts.n // ROWS)), max(1, -(-counts.q // QUERIES))
-    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = rows.withColumn("block", place(blocks)).withColumn("pack", all_of(packs))
-    queries = rows.where(asked).withColumn("pack", place(packs)).withColumn("block", all_of(blocks))
-
-    def search(cell: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(cell) and len(asks):
-            block = SlicedBlock(cell["id"].to_numpy(), np.stack(cell["v"].to_numpy()).astype(np.int64))
-            for q, v in zip(asks["id"].tolist(), asks["v"]):
-                ids, scores = block.top(q, np.asarray(v, dtype=np.int64), k)
-                found.append(pd.DataFrame({"query_id": q, "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    cells = ["dim", "block", "pack"]
-    found = candidates.groupBy(*cells).cogroup(queries.groupBy(*cells)).applyInPandas(
-        search, "query_id bigint, vec_id bigint, score bigint")
+    blocks = max(1, -(-rows.count() // ROWS))
+    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    candidates = rows.select("dim", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("asks"), "id", "row", "v")
+    queries = rows.where(asked).select("dim", all_blocks.alias("block"), F.lit(1).alias("asks"), "id", "row", "v")
+    cells = ["dim", "block"]
+    stream = candidates.unionByName(queries).repartition(*cells).sortWithinPartitions(*cells, "asks")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, held, block = None, [], None
+        for batch in batches:
+            found = [pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "score": []}, dtype="int64")]
+            for (dim, number, asks), part in batch.groupby(["dim", "block", "asks"], sort=True):
+                if cell != (dim, number):
+                    cell, held, block = (dim, number), [], None
+                if not asks:
+                    held.append(part)
+                    continue
+                if not held:
+                    continue
+                if block is None:
+                    whole = pd.concat(held)
+                    block = SlicedBlock(whole["id"].to_numpy(), quantised(np.stack(whole["v"].to_numpy()), scale), whole["row"].to_numpy())
+                for q, name, v in zip(part["id"].tolist(), part["row"].tolist(), quantised(np.stack(part["v"].to_numpy()), scale)):
+                    ids, scores = block.top(name, v, k)
+                    found.append(pd.DataFrame({"query_id": q, "query_row": name, "vec_id": ids, "score": scores}))
+            yield pd.concat(found)
+
+    found = stream.mapInPandas(run, "query_id bigint, query_row bigint, vec_id bigint, score bigint")
     return best_per_query(found, k)
 
 

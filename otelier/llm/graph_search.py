@@ -20,7 +20,7 @@ from otelier.llm.staging import staged
 from otelier.llm.vectors import best_per_query, usable_vectors
 
 #: Rows of a shard and queries of a pack.
-SHARD, PACK = 8192, 512
+SHARD, PACK = 8192, 8192
 #: Edges per point, width of the beam while building and searching, pruning factor.
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 48, 96, 1.2
 _LANES = 512
@@ -136,18 +136,18 @@ class Graph:
 class Shard:
     """The index of one shard: distinct vectors, the ids that hold each, and their graph."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order]
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, names: np.ndarray):
+        order = np.lexsort((names, ids))
+        ids, vectors, names = ids[order], vectors[order], names[order]
         self.vectors, group = np.unique(vectors, axis=0, return_inverse=True)
         by_group = np.argsort(group, kind="stable")
-        self.ids, self.begins = ids[by_group], np.searchsorted(group[by_group], np.arange(len(self.vectors) + 1))
+        self.ids, self.names, self.begins = ids[by_group], names[by_group], np.searchsorted(group[by_group], np.arange(len(self.vectors) + 1))
         scale = np.abs(self.vectors).max()
         norms = ((self.vectors / scale) ** 2).sum(1)
         self.scale = scale
         self.graph = Graph.build(np.column_stack([self.vectors / scale, np.sqrt(np.maximum(norms.max() - norms, 0))]))
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> pd.DataFrame:
+    def search(self, ids: np.ndarray, names: np.ndarray, queries: np.ndarray, k: int, beam: int) -> pd.DataFrame:
         lifted = np.column_stack([queries / np.abs(queries).max(1, keepdims=True), np.zeros(len(queries))]).astype(np.float32)
         found = []
         for low in range(0, len(ids), _LANES):
@@ -159,11 +159,11 @@ class Shard:
             # of equal vectors the k + 1 smallest ids can matter, as one may be the query's own
             n = np.minimum(np.diff(self.begins)[point], k + 1)
             each = np.repeat(np.arange(len(point)), n)
-            vec = self.ids[self.begins[point][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)]
-            rows = pd.DataFrame({"query_id": ids[row[each]], "vec_id": vec, "score": score[each]})
-            rows = rows[rows["query_id"] != rows["vec_id"]].sort_values(
-                ["query_id", "score", "vec_id"], ascending=[True, False, True])
-            found.append(rows.groupby("query_id").head(k))
+            at = self.begins[point][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+            rows = pd.DataFrame({"query_id": ids[row[each]], "query_row": names[row[each]], "vec_id": self.ids[at], "score": score[each]})
+            rows = rows[rows["query_row"] != self.names[at]].sort_values(
+                ["query_row", "score", "vec_id"], ascending=[True, False, True])
+            found.append(rows.groupby("query_row").head(k))
         return pd.concat(found)
 
 
@@ -171,21 +171,24 @@ def build_shards(rows: DataFrame, shards: int) -> DataFrame:
     """One row per shard (and vector length): (dim, shard, index)."""
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        made = Shard(group["id"].to_numpy(), np.stack(group["v"].to_numpy()))
+        made = Shard(group["id"].to_numpy(), np.stack(group["v"].to_numpy()), group["row"].to_numpy())
         return pd.DataFrame({"dim": group["dim"].iloc[:1], "shard": group["shard"].iloc[:1], "index": [pickle.dumps(made, protocol=5)]})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     return dealt.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, index binary")
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, beam: int = SEARCH_BEAM, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose key is divisible by `every` up to k rows of large inner product,
-    found in every shard, best first. The query's own key is no candidate.
+    found in every shard, best first. The query's own row is no candidate.
 
     Scores are inner products of the original vectors in double precision; ties go to the smaller key. Vectors that are
-    null or zero or hold a null or non-finite component take no part, nor do rows with a null key. Of rows that share a
-    key the one with the least vector counts. Vectors are compared with those of as many components. Other columns are
-    left out; an empty table gives no rows. A query gets k rows where there are as many; which ones is approximate.
+    null or zero or hold a null or non-finite component take no part, nor do rows with a null key. Exact repeats count
+    once; rows that share a key but not the vector are queries and candidates of their own. Vectors are compared with
+    those of as many components. Other columns are left out; an empty table gives no rows. A query gets k rows where
+    there are as many; which ones is approximate.
+
+    A graph goes to its searches once for every `PACK` queries.
     """
     rows = staged(usable_vectors(vectors, key, vector, nonzero=True), "vectors")
     asked = F.col("id") % every == 0
@@ -199,10 +202,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, beam: int = SEARCH
 
     def search(shard: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(shard) or not len(asks):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        asks = asks.sort_values("id")
-        return pickle.loads(shard["index"].iloc[0]).search(asks["id"].to_numpy(), np.stack(asks["v"].to_numpy()), k, beam)
+            return pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "score": []}, dtype="int64")
+        asks = asks.sort_values(["id", "row"])
+        return pickle.loads(shard["index"].iloc[0]).search(asks["id"].to_numpy(), asks["row"].to_numpy(), np.stack(asks["v"].to_numpy()), k, beam)
 
     cells = ["dim", "shard", "pack"]
-    found = index.groupBy(*cells).cogroup(queries.groupBy(*cells)).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
+    found = index.groupBy(*cells).cogroup(queries.groupBy(*cells)).applyInPandas(search, "query_id bigint, query_row bigint, vec_id bigint, score double")
     return best_per_query(found, k)

@@ -64,6 +64,28 @@ def test_bit_sliced_sums(span):
         assert sorted(zip(-scores, got_ids)) == want
 
 
+def test_two_vectors_under_one_id(spark):
+    """Rows that share an id are queries and candidates of their own; exact repeats count once."""
+    rows = [(50, [1.0, 0.0]), (50, [0.5, 0.5]), (50, [1.0, 0.0]), (7, [2.0, 1.0]), (9, [0.25, 0.0])]
+    df = spark.createDataFrame([(i, v, 1, "s", 2) for i, v in rows], SCHEMA).repartition(3)
+    for search, score in ((lambda: top_inner_products(df, k=5, every=50), 256 * 256), (lambda: nearest(df, k=5, every=50), 1)):
+        found = sorted((r["rank"], r["vec_id"], r["score"] / score) for r in search().collect())
+        assert found == sorted([(1, 7, 2.0), (2, 50, 0.5), (3, 9, 0.25), (1, 7, 1.5), (2, 50, 0.5), (3, 9, 0.125)])
+
+
+def test_components_of_any_size(spark):
+    rows = [(0, [2.0 ** 22, 1.0]), (1, [2.0 ** 22, -1.0]), (2, [1.0, 3.0]), (3, [-2.0 ** 22, 0.0]), (50, [2.0 ** -8, 2.0 ** -8])]
+    vectors = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    df = spark.createDataFrame([(i, v, 1, "s", 2) for i, v in rows], "vec_id bigint, embedding array<double>, label int, score string, rank int")
+    want = {q: sorted(((i, sum(a * b for a, b in zip(vectors[q], v))) for i, v in vectors.items() if i != q), key=lambda x: (-x[1], x[0])) for q in (0, 50)}
+    assert grouped(top_inner_products(df, k=5, every=50)) == want
+    huge = spark.createDataFrame([(0, [1e18]), (1, [1e18])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        top_inner_products(huge).collect()
+    small = spark.createDataFrame([(0, [1e-3]), (1, [1e17]), (2, [-1e17])], "vec_id bigint, embedding array<double>")
+    assert grouped(top_inner_products(small)) == {0: [(1, 0), (2, 0)]}
+
+
 def test_graph_search(spark, sf):
     df = awkward(spark)
     got, want = grouped(nearest(df)), best(usable(df, False), 20, 20)
