@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from otelier.functions.anyvalue import BRANCHES
 from otelier.operators.flatten import RESOURCE_COLUMNS, SCOPE_COLUMNS
+from otelier.operators.profiles_packets import deflatten_profiles
 from otelier.schemas import LINEAGE, METRIC_KINDS, flat_schema
 
 
@@ -141,13 +142,15 @@ def _in_order(items: Column, position: str, value: str) -> Column:
 
 
 def deflatten(rows: DataFrame, signal: str) -> DataFrame:
-    """Rebuild the packets of logs, spans or metrics from their rows.
+    """Rebuild the packets of a signal from their rows; for profiles see `deflatten_profiles`.
 
     Neighbouring records (in order of their sequence numbers) that share resource and scope go back under one node; where
     either changes, a new node starts, so equal nodes of a packet stay apart unless they touch. Copies of a row (a
     packet read twice) are dropped. Everything runs on one partitioning by packet id, so on groups no larger than a
     packet and its copies.
     """
+    if signal == "profiles":
+        return deflatten_profiles(rows)
     root, scopes, records, schema_url = _TREES[signal]
     place = list(LINEAGE[signal])[2:]
     copy = Window.partitionBy("batch_UUID", *place).orderBy(place[-1])

@@ -8,7 +8,7 @@ from otelier.functions.anyvalue import any_value
 from otelier.functions.expressions import hex_id
 from otelier.operators.flatten import flatten_logs, flatten_spans, untyped_metrics
 from otelier.operators.packets import deflatten, ingest_counters, packet_outcome
-from otelier.operators.profiles_flatten import BAD_VALUES
+from otelier.operators.profiles_flatten import BAD_VALUES, flatten_profiles
 from otelier.plans import fixtures
 from otelier.plans.oracle import FRAMES, HOURS, LOGS, POINTS, PROFILES, SPANS
 from otelier.plans.registry import attribute, big, hexed, query
@@ -175,6 +175,21 @@ def deflatten_spans(spark, sf):
         F.array_join(F.transform(spans, lambda s: hex_id(s["spanId"])), ",").alias("span_ids"))
 
 
+@query("deflatten_profiles", """
+SELECT batch, sample AS sample_seq_no, CAST(value_no AS BIGINT) AS value_seq_no, value, ts_ns, host, role,
+  profile_id AS trace_id, CAST(len(words) AS BIGINT) AS depth, array_to_string(words[1:3], ' ') AS top,
+  array_to_string(words[-2:], ' ') AS bottom FROM profile_rows""", PROFILES)
+def rebuilt_profiles(spark, sf):
+    """Profile rows that went back to packets, with new dictionaries, and were flattened again."""
+    rows = flatten_profiles(deflatten(fixtures.profile_rows(spark, sf), "profiles"))
+    names = F.transform("stack", lambda l: F.get(l["lines"], F.lit(0))["function"]["name"])
+    return rows.select(
+        F.col("batch_UUID").alias("batch"), big("sample_seq_no"), big("value_seq_no"), "value", F.col("timestamp_unix_nano").alias("ts_ns"),
+        attribute("resource_attributes", "host.name", "host"), any_value(F.get("attributes", F.lit(0))["value"]).alias("role"), *hexed("trace_id"),
+        F.size("stack").cast("bigint").alias("depth"), F.array_join(F.slice(names, 1, 3), " ").alias("top"),
+        F.array_join(F.slice(names, F.greatest(F.size(names) - 1, F.lit(1)), F.lit(2)), " ").alias("bottom"))
+
+
 @query("validity", f"""
 SELECT is_valid, CASE WHEN NOT is_valid THEN '{BAD_VALUES}' END AS error_message, count(*) AS n
 FROM profile_rows GROUP BY is_valid""", PROFILES)

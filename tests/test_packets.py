@@ -73,7 +73,7 @@ def test_json_packets_give_the_same_rows(spark, sf, tmp_path, signal):
     assert text(read_signal(spark, signal, "raw", path).drop(*drop)) == text(FLATTEN[signal](sent).drop(*drop))
 
 
-@pytest.mark.parametrize("signal", ["logs", "spans", "metrics"])
+@pytest.mark.parametrize("signal", ["logs", "spans", "metrics", "profiles"])
 def test_deflatten_is_the_inverse(spark, sf, signal):
     rows = FLATTEN[signal](fixtures.PACKETS[signal](spark, sf)).cache()
     try:
@@ -199,3 +199,30 @@ def test_numbers_as_texts(spark):
     rows = flatten_metrics(packets(spark, "metrics", packet))
     assert rows_of(rows, "name", "gauge_double", "histogram_sum", "histogram_max", "histogram_explicit_bounds", "histogram_bucket_counts") == [
         ("g", 2.5, None, None, [], []), ("h", None, 7.25, float("inf"), [0.5], [1, 2])]
+
+
+def test_profile_packets_are_rebuilt(spark):
+    """Shared and missing entries, nodes without rows, lists of unequal length, missing links and mappings."""
+    strings = ["", "main", "read", "a.c", "thread", "ns", "cpu", "env"]
+    locations = [{"mappingIndex": 0, "address": 16, "lines": [{"functionIndex": 0, "line": 3}, {"functionIndex": 1, "line": 4}], "attributeIndices": [0]},
+                 {"mappingIndex": 9, "address": 32, "lines": [{"functionIndex": 1}]}, {"address": 16, "lines": []}]
+    samples = [{"stackIndex": 0, "values": [1, 2], "attributeIndices": [0, 1], "linkIndex": 0, "timestampsUnixNano": [7]},
+               {}, {"stackIndex": 1, "values": [5], "linkIndex": 1}, {"stackIndex": 0, "timestampsUnixNano": [8, 9], "linkIndex": 7},
+               {"stackIndex": 2, "values": [4], "attributeIndices": [1, 9]}]
+    profile = {"profileId": "0a", "sampleType": {"typeStrindex": 6, "unitStrindex": 5}, "periodType": {"typeStrindex": 6}, "period": 10, "samples": samples,
+               "attributeIndices": [1]}
+    packet = {"resourceProfiles": [
+        {}, {"resource": {"attributes": [{"key": "host", "value": {"intValue": "3"}}, {"keyStrindex": 7, "value": {"stringValueStrindex": 1}}]}, "schemaUrl": "u",
+             "scopeProfiles": [{"profiles": []}, {"scope": {"name": "s"}, "profiles": [{}, profile, {**profile, "profileId": "0b"}]}]}],
+        "dictionary": {"stringTable": strings, "functionTable": [{"nameStrindex": 1, "filenameStrindex": 3}, {"nameStrindex": 2, "startLine": 5}],
+                       "attributeTable": [{"keyStrindex": 4, "value": {"stringValueStrindex": 1}, "unitStrindex": 5}, {"keyStrindex": 7, "value": {"boolValue": True}}],
+                       "mappingTable": [{"memoryStart": 1, "filenameStrindex": 3, "attributeIndices": [1]}], "locationTable": locations,
+                       "stackTable": [{"locationIndices": [0, 1]}, {"locationIndices": [2, 0, 0, 9]}, {}],
+                       "linkTable": [{"traceId": "01", "spanId": "02"}, {"traceId": "03", "spanId": "04"}]}}
+    rows = FLATTEN["profiles"](packets(spark, "profiles", packet, json.dumps({"resourceProfiles": []}), packet))
+    assert rows.count() == 2 * 12
+    again = deflatten(rows.unionByName(rows), "profiles")
+    assert text(FLATTEN["profiles"](again)) == text(rows)
+    tables = again.select("dictionary.*").first()
+    assert {n: len(tables[n]) for n in tables.asDict()} == {
+        "stringTable": 8, "attributeTable": 2, "mappingTable": 1, "functionTable": 2, "locationTable": 3, "stackTable": 3, "linkTable": 2}
