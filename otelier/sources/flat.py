@@ -28,14 +28,14 @@ def read_flat(spark: SparkSession, signal: str, path: str) -> DataFrame:
 
 def read_signal(
     spark: SparkSession, signal: str, layout: str, path: str, id_encoding: str = "base64",
-    default_resource_attributes: str | None = None,
+    default_resource_attributes: str | None = None, equal_lines: bool = True,
 ) -> DataFrame:
     """Flat rows from any of the input modes: 4 signals x {raw, flat}. Raw packets are flattened as they are read, and
-    resources get the default attributes (`k=v,k2=v2`) that they lack."""
+    resources get the default attributes (`k=v,k2=v2`) that they lack; for `equal_lines` see `read_packets`."""
     if layout == "flat":
         return read_flat(spark, signal, path)
     if layout == "raw":
-        packets = read_packets(spark, signal, path, id_encoding).drop("corrupt_record")
+        packets = read_packets(spark, signal, path, id_encoding, equal_lines).drop("corrupt_record")
         return FLATTEN[signal](packets, default_resource_attributes)
     raise ValueError(f"layout is raw or flat, not {layout!r}")
 
