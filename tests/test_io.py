@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from otelier.operators.packets import deflatten, packet_outcome
 from otelier.plans import fixtures
 from otelier.plans.fixtures import encode_packets
+from otelier.plans.io_queries import write_packets
 from otelier.session import scratch_path
 from otelier.sources.flat import (
     FLATTEN, SMALL_FILES, file_sizes, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata,
@@ -189,3 +190,11 @@ def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
     assert run() == first
     total = read_counters(spark, out).first()
     assert (total["packets"], total["request_items"], total["rejected_packets"], total["batches"]) == (40, 40, 0, 4)
+
+
+def test_packets_are_written_compressed(spark, sf):
+    """JSON lines repeat their field names; written plainly they filled the disk."""
+    path = write_packets(spark, sf, "spans")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).agg(F.sum("length")).first()[0]
+    text_bytes = spark.read.text(path).agg(F.sum(F.octet_length("value"))).first()[0]
+    assert files * 5 < text_bytes
