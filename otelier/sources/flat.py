@@ -86,29 +86,58 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
 
 
-def _in_small_files(df: DataFrame, max_file_bytes: int) -> DataFrame:
+def _with_file(df: DataFrame) -> DataFrame:
+    """The rows of stored files with the file and their place in it."""
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+
+
+def _cut(stored: DataFrame, plan: DataFrame, by_rows: bool) -> DataFrame:
+    """The rows of files that are too large, dealt in their order to `pieces` tasks for each file, from task `first` on. Cuts
+    follow the length of the rows as text, or their number, which cuts where text can't (many small rows and a large one)."""
+    names = [column(c) for c in stored.columns]
+    size = F.lit(1) if by_rows else F.octet_length(F.to_json(F.struct(*names)))
+    rows = _with_file(stored).join(plan, F.col("_file") == F.col("file")).withColumn("_size", size)
+    in_file = Window.partitionBy("_file")
+    upto = in_file.orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
+    share = F.coalesce(F.sum("_size").over(upto), F.lit(0)) / F.sum("_size").over(in_file)
+    piece = (F.col("first") + F.floor(share * F.col("pieces"))).cast("int")
+    total = plan.agg(F.sum("pieces")).first()[0]
+    return rows.withColumn("_piece", piece).repartitionById(int(total), "_piece").sortWithinPartitions("_file", "_index").select(*names)
+
+
+def _in_small_files(df: DataFrame, max_file_bytes: int, options: dict[str, int]) -> DataFrame:
     """The rows dealt to as many tasks as there must be files, each of them for one file below the limit.
 
-    Sizes are known only once rows are encoded: the table is written to the scratch folder first. A file that came out too
-    large is cut, in its order, where the share of its text length says so.
+    Sizes are known only once rows are encoded, and small files hold more bytes than their share of a large one. So the table
+    is written to the scratch folder first, files that came out too large are cut and written again, until all that hold
+    more than a row are small enough. Each of these files then becomes one task, with the same rows in the same order.
     """
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, "unlimited")
-    df.write.parquet(path)
-    pieces = F.ceil(F.col("bytes") * _MARGIN / max_file_bytes)
+    spark, schema, base = df.sparkSession, df.schema, scratch_path(df.sparkSession, "limited")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
-    plan = file_sizes(spark, path).withColumn("pieces", pieces).withColumn("first", F.coalesce(F.sum("pieces").over(before), F.lit(0)))
-    total = plan.agg(F.sum("pieces")).first()[0]
+    small, number = [], 0
+    while True:
+        path = f"{base}/{number}"
+        df.write.options(**options).parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
+        counted = _with_file(stored).groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+        sizes = file_sizes(spark, path).join(counted, "file").withColumn(
+            "pieces", F.when((F.col("bytes") > max_file_bytes) & (F.col("rows") > 1),
+                             F.least(F.col("rows"), F.ceil(F.col("bytes") * _MARGIN / max_file_bytes))))
+        small.append(sizes.filter("pieces IS NULL").select("file"))
+        plan = sizes.filter("pieces IS NOT NULL").select("file", "pieces", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("first"))
+        if plan.isEmpty():
+            break
+        df, number = _cut(stored, plan, by_rows=number % 2 == 1), number + 1
+    files = small[0]
+    for more in small[1:]:
+        files = files.unionByName(more)
+    files = files.withColumn("_piece", F.row_number().over(Window.orderBy("file")) - 1)
+    total = files.count()
     if not total:
         return df
-    stored = spark.read.schema(df.schema).parquet(path)
-    rows = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"),
-                         F.octet_length(F.to_json(F.struct(*[column(c) for c in df.columns]))).alias("_size"))
-    in_file = Window.partitionBy("_file")
-    upto = in_file.orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
-    share = F.coalesce(F.sum("_size").over(upto), F.lit(0)) / F.sum("_size").over(in_file)
-    dealt = rows.withColumn("_share", share).join(plan, F.col("_file") == F.col("file"))
-    piece = (F.col("first") + F.floor(F.col("_share") * F.col("pieces"))).cast("int")
-    return dealt.withColumn("_piece", piece).repartitionById(int(total), "_piece").select(*[column(c) for c in df.columns])
+    kept = spark.read.schema(schema).parquet(*[f"{base}/{i}" for i in range(number + 1)])
+    dealt = _with_file(kept).join(files, F.col("_file") == F.col("file")).repartitionById(total, "_piece")
+    return dealt.sortWithinPartitions("_index").select(*[column(c) for c in schema.names])
 
 
 def write_flat(
@@ -116,17 +145,14 @@ def write_flat(
     max_records_per_file: int | None = None, max_file_bytes: int | None = None,
 ) -> str:
     """Append rows to the flat table of a signal in `base/<signal>` and return its path. No shuffle, unless
-    `max_file_bytes` limits the files: then rows are written once more to the scratch folder, to learn their sizes. A single
+    `max_file_bytes` limits the files: then rows are written to the scratch folder first, to learn their sizes. A single
     row larger than the limit is a file of its own."""
+    limits = {"parquet.block.size": row_group_bytes, "maxRecordsPerFile": max_records_per_file}
+    options = {name: value for name, value in limits.items() if value}
     if max_file_bytes:
-        df = _in_small_files(df, max_file_bytes)
-    writer = df.write.mode("append")
-    if row_group_bytes:
-        writer = writer.option("parquet.block.size", row_group_bytes)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        df = _in_small_files(df, max_file_bytes, options)
     path = f"{base}/{signal}"
-    writer.parquet(path)
+    df.write.mode("append").options(**options).parquet(path)
     return path
 
 

@@ -198,3 +198,23 @@ def test_packets_are_written_compressed(spark, sf):
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).agg(F.sum("length")).first()[0]
     text_bytes = spark.read.text(path).agg(F.sum(F.octet_length("value"))).first()[0]
     assert files * 5 < text_bytes
+
+
+def test_small_files_of_many_columns_stay_below_a_size(spark, tmp_path):
+    """What each file holds besides rows (its schema, a header per column) is much of a small file."""
+    rows = spark.range(4000).select(F.col("id").alias("time_unix_nano"), F.sha2(F.col("id").cast("string"), 256).alias("c"), *[
+        (F.col("id") % (i + 2)).alias(f"c{i}") for i in range(100)]).coalesce(1)
+    path = write_flat(rows, "logs", str(tmp_path), max_file_bytes=40_000)
+    sizes = [r["bytes"] for r in file_sizes(spark, path).collect()]
+    assert max(sizes) <= 40_000 and len(sizes) > 5
+    assert spark.read.parquet(path).agg(F.count("*"), F.sum("time_unix_nano")).first()[:] == (4000, sum(range(4000)))
+
+
+def test_a_large_row_among_small_ones_is_a_file_of_its_own(spark, tmp_path):
+    """A row above the limit can't be cut; those around it still leave its file."""
+    long = F.concat(*[F.sha2(F.lit(str(i)), 512) for i in range(400)])
+    rows = spark.range(50).select(F.col("id").alias("time_unix_nano"), F.when(F.col("id") == 30, long).otherwise("x").alias("severity_text")).coalesce(1)
+    path = write_flat(rows, "logs", str(tmp_path), max_file_bytes=20_000)
+    back = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows")).join(file_sizes(spark, path), "file")
+    large = back.filter("bytes > 20000").collect()
+    assert [r["rows"] for r in large] == [1] and back.agg(F.sum("rows")).first()[0] == 50
