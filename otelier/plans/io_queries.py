@@ -175,8 +175,12 @@ def stream_counters(spark, sf):
     """Counters of a stream that takes three batches; one of its packets is broken."""
     path, out = scratch_path(spark, "packets-profiles"), scratch_path(spark, "ingest")
     lines = fixtures.PACKETS["profiles"](spark, sf).select(packet_text("profiles").alias("value"))
-    lines.unionByName(spark.createDataFrame([('{"resourceProfilez":[]}',)], "value string")).repartition(3, F.rand(1)).write.text(path)
-    ingest(spark, "profiles", out, f"{out}/checkpoint", options={"path": path, "maxFilesPerTrigger": "1"}, once=True).awaitTermination()
+    tasks = max(9, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_lines(lines.unionByName(spark.createDataFrame([('{"resourceProfilez":[]}',)], "value string")).repartition(tasks, F.rand(1)), path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).count()
+    # a third of the files, rounded up, makes three batches of any number from five on
+    options = {"path": path, "maxFilesPerTrigger": str(-(-files // 3))}
+    ingest(spark, "profiles", out, f"{out}/checkpoint", options=options, once=True).awaitTermination()
     return read_counters(spark, out).select(
         "signal", F.col("request_items").alias("items"), F.col("dropped_request_items").alias("dropped"),
         (F.col("packets") - F.col("rejected_packets")).alias("packets"), F.col("partially_succeeded_requests").alias("partly"),

@@ -28,3 +28,9 @@ def test_lines_come_twice_in_each_of_several_files(spark, sf, tmp_path, monkeypa
     assert row["packets"] == row["same_ids"] > 100
     per_line = spark.read.text(str(tmp_path / "twice")).groupBy(F.col("_metadata.file_path").alias("file"), "value").count()
     assert per_line.select("file").distinct().count() > 1 and per_line.filter("count <> 2").isEmpty()
+
+
+def test_batches_may_hold_several_files(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(io_queries, "scratch_path", lambda _, purpose: str(tmp_path / purpose))
+    assert entry.queries()["stream_counters"](spark, sf).first()["batches"] == 3
+    assert len(list((tmp_path / "packets-profiles").glob("part-*"))) > 3
