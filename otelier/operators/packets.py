@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from otelier.functions.anyvalue import BRANCHES
-from otelier.operators.flatten import RESOURCE_COLUMNS, SCOPE_COLUMNS
+from otelier.functions.expressions import let
 from otelier.operators.profiles_packets import deflatten_profiles
 from otelier.schemas import LINEAGE, METRIC_KINDS, flat_schema
 
@@ -112,7 +115,11 @@ _KIND_FIELDS = {
 }
 
 
-def _metric(points: Column, extra: dict[str, list[Column]]) -> Column:
+def _metric(head: Column, points: Column) -> Column:
+    temporality = head["aggregation_temporality"].alias("aggregationTemporality")
+    extra = {"sum": [temporality, head["is_monotonic"].alias("isMonotonic")], "histogram": [temporality],
+             "exponentialHistogram": [temporality]}
+
     def kind_struct(kind: str) -> Column:
         def one(p: Column) -> Column:
             exemplars = [] if kind == "summary" else [p["exemplars"].alias("exemplars")]
@@ -122,9 +129,9 @@ def _metric(points: Column, extra: dict[str, list[Column]]) -> Column:
                 *_KIND_FIELDS[kind](p))
 
         body = F.struct(F.transform(points, one).alias("dataPoints"), *extra.get(kind, []))
-        return F.when(F.col("type") == METRIC_KINDS[kind][0], body).alias(kind)
+        return F.when(head["type"] == METRIC_KINDS[kind][0], body).alias(kind)
 
-    return F.struct("name", "description", "unit", F.col("metric_metadata").alias("metadata"),
+    return F.struct(*[head[c].alias(c) for c in ("name", "description", "unit")], head["metric_metadata"].alias("metadata"),
                     *[kind_struct(k) for k in METRIC_KINDS])
 
 
@@ -135,10 +142,15 @@ _TREES = {
 }
 
 
-def _in_order(items: Column, position: str, value: str) -> Column:
-    ordered = F.array_sort(items, lambda a, b: F.when(a[position] < b[position], -1)
-                           .when(a[position] > b[position], 1).otherwise(0))
-    return F.transform(ordered, lambda x: x[value])
+def _runs(items: Column, differ) -> Column:
+    """An array cut into arrays, before each item for which `differ` (item, the one before it) is true."""
+    first = F.filter(F.sequence(F.lit(0), F.size(items) - 1), lambda i: (i == 0) | differ(F.get(items, i), F.get(items, i - 1)))
+    return let(first, lambda at: F.transform(
+        at, lambda i, k: F.slice(items, i + 1, F.coalesce(F.get(at, k + 1), F.size(items)) - i)))
+
+
+def _by(*names: str):
+    return lambda a, b: reduce(or_, [~a[n].eqNullSafe(b[n]) for n in names])
 
 
 def deflatten(rows: DataFrame, signal: str) -> DataFrame:
@@ -146,59 +158,53 @@ def deflatten(rows: DataFrame, signal: str) -> DataFrame:
 
     Neighbouring records (in order of their sequence numbers) that share resource and scope go back under one node; where
     either changes, a new node starts, so equal nodes of a packet stay apart unless they touch. Copies of a row (a
-    packet read twice) are dropped. Everything runs on one partitioning by packet id, so on groups no larger than a
-    packet and its copies.
+    packet read twice) are dropped; a packet that arrived twice has the time of its first arrival. The rows are collected
+    once, by packet id, so groups are no larger than a packet and its copies, and rows that are already partitioned by
+    packet id are not exchanged. The rest happens inside the list of a packet, not by sorts of whole rows.
     """
     if signal == "profiles":
         return deflatten_profiles(rows)
     root, scopes, records, schema_url = _TREES[signal]
     place = list(LINEAGE[signal])[2:]
-    copy = Window.partitionBy("batch_UUID", *place).orderBy(place[-1])
-    rows = rows.repartition("batch_UUID").withColumn("_copy", F.row_number().over(copy)).filter("_copy = 1").drop("_copy")
-    in_order = Window.partitionBy("batch_UUID").orderBy(*place)
-    differs = lambda *columns: ~F.lag(F.struct(*columns)).over(in_order).eqNullSafe(F.struct(*columns))
-    rows = rows.withColumns({
-        "_new_resource": differs(*RESOURCE_COLUMNS).cast("int"),
-        "_new_scope": differs(*RESOURCE_COLUMNS, *SCOPE_COLUMNS, schema_url).cast("int")})
-    rows = rows.withColumns({
-        "_resource_no": F.sum("_new_resource").over(in_order), "_scope_no": F.sum("_new_scope").over(in_order)})
-    packet = ["batch_timestamp", "batch_UUID"]
-    resource_keys = [*packet, "_resource_no", *RESOURCE_COLUMNS]
-    scope_keys = [*resource_keys, "_scope_no", *SCOPE_COLUMNS, schema_url]
-
-    if signal == "metrics":
-        head = ["seq_no", "name", "description", "unit", "type", "metric_metadata", "aggregation_temporality",
-                "is_monotonic"]
-        temporality = F.col("aggregation_temporality").alias("aggregationTemporality")
-        extra = {"sum": [temporality, F.col("is_monotonic").alias("isMonotonic")], "histogram": [temporality],
-                 "exponentialHistogram": [temporality]}
-        rows = rows.groupBy(*scope_keys, *head).agg(F.collect_list(_point()).alias("_points"))
-        record = _metric(_ordered_points(), extra)
-    else:
-        record = {"logs": _log_record, "spans": _span_record}[signal]()
-
-    by_scope = rows.select(*scope_keys, "seq_no", record.alias("_record")).groupBy(*scope_keys).agg(
-        F.min("seq_no").alias("_at"), F.collect_list(F.struct("seq_no", "_record")).alias("_records"))
-    scope = F.struct(
-        F.struct(F.col("scope_name").alias("name"), F.col("scope_version").alias("version"),
-                 F.col("scope_attributes").alias("attributes"),
-                 F.col("scope_dropped_attributes_count").alias("droppedAttributesCount")).alias("scope"),
-        F.col(schema_url).alias("schemaUrl"),
-        _in_order(F.col("_records"), "seq_no", "_record").alias(records),
-    )
-    by_resource = by_scope.select(*resource_keys, "_at", scope.alias("_scope")).groupBy(*resource_keys).agg(
-        F.min("_at").alias("_at"), F.collect_list(F.struct("_at", "_scope")).alias("_scopes"))
     resource = F.struct(
         F.struct(F.col("resource_attributes").alias("attributes"),
                  F.col("resource_dropped_attributes_count").alias("droppedAttributesCount"),
                  F.col("resource_entity_refs").alias("entityRefs")).alias("resource"),
-        F.col("resource_schema_url").alias("schemaUrl"),
-        _in_order(F.col("_scopes"), "_at", "_scope").alias(scopes),
-    )
-    return by_resource.select(*packet, "_at", resource.alias("_resource")).groupBy(*packet).agg(
-        F.collect_list(F.struct("_at", "_resource")).alias("_resources")).select(
-        *packet, _in_order(F.col("_resources"), "_at", "_resource").alias(root))
-
-
-def _ordered_points() -> Column:
-    return F.array_sort(F.col("_points"), lambda a, b: a["datapoint_seq_no"] - b["datapoint_seq_no"])
+        F.col("resource_schema_url").alias("schemaUrl"))
+    scope = F.struct(
+        F.struct(F.col("scope_name").alias("name"), F.col("scope_version").alias("version"),
+                 F.col("scope_attributes").alias("attributes"),
+                 F.col("scope_dropped_attributes_count").alias("droppedAttributesCount")).alias("scope"),
+        F.col(schema_url).alias("schemaUrl"))
+    if signal == "metrics":
+        head = F.struct("seq_no", "name", "description", "unit", "type", "metric_metadata", "aggregation_temporality",
+                        "is_monotonic")
+        content = [head.alias("head"), _point().alias("record")]
+    else:
+        content = [{"logs": _log_record, "spans": _span_record}[signal]().alias("record")]
+    item = F.struct(*place, resource.alias("resource"), scope.alias("scope"), *content)
+    packets = rows.groupBy("batch_UUID").agg(
+        F.min("batch_timestamp").alias("batch_timestamp"), F.collect_list(item).alias("_items"))
+
+    def records_of(items: Column) -> Column:
+        if signal != "metrics":
+            return F.transform(items, lambda x: x["record"])
+        return F.transform(_runs(items, _by("head")), lambda of_one: _metric(
+            F.get(of_one, F.lit(0))["head"], F.transform(of_one, lambda x: x["record"])))
+
+    def scope_node(items: Column) -> Column:
+        node = F.get(items, F.lit(0))["scope"]
+        return F.struct(node["scope"].alias("scope"), node["schemaUrl"].alias("schemaUrl"), records_of(items).alias(records))
+
+    def resource_node(items: Column) -> Column:
+        node = F.get(items, F.lit(0))["resource"]
+        return F.struct(node["resource"].alias("resource"), node["schemaUrl"].alias("schemaUrl"),
+                        F.transform(_runs(items, _by("scope")), scope_node).alias(scopes))
+
+    def tree(items: Column) -> Column:
+        return F.transform(_runs(items, _by("resource")), resource_node)
+
+    # the place comes first in an item, so they sort by it; of copies the first counts
+    distinct = let(F.sort_array("_items"), lambda items: F.filter(
+        items, lambda x, i: (i == 0) | _by(*place)(x, F.get(items, i - 1))))
+    return packets.select("batch_timestamp", "batch_UUID", let(distinct, tree).alias(root))

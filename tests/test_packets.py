@@ -112,6 +112,17 @@ def test_deflatten_keeps_the_order_of_repeated_nodes(spark):
     assert text(flatten_logs(deflatten(rows, "logs"))) == text(rows)
 
 
+def test_copies_that_arrived_later_are_dropped(spark):
+    """A packet read twice has two arrival times; it stays one packet, whole."""
+    log = lambda n: {"timeUnixNano": str(n)}
+    rows = flatten_logs(packets(spark, "logs", {"resourceLogs": [{"scopeLogs": [{"logRecords": [log(n) for n in range(50)]}]}]}))
+    later = rows.withColumn("batch_timestamp", F.col("batch_timestamp") + 5)
+    for both in (rows.unionByName(later), later.unionByName(rows)):
+        found = deflatten(both.repartition(3), "logs").collect()
+        assert [r["batch_timestamp"] for r in found] == [1000]
+        assert [int(r["timeUnixNano"]) for r in found[0]["resourceLogs"][0]["scopeLogs"][0]["logRecords"]] == list(range(50))
+
+
 def test_content_hash_without_lineage(spark):
     both = packets(spark, "metrics", {"resourceMetrics": [{"scopeMetrics": [{"metrics": [
         {"name": "a", "gauge": {"dataPoints": [{"asInt": 1}]}}]}]}]}).drop("batch_UUID", "batch_timestamp", "corrupt_record")

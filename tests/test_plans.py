@@ -98,3 +98,12 @@ def test_parents_are_found_without_sorted_aggregation(stored):
 def test_packets_are_rebuilt_on_one_exchange(stored):
     plan = plan_of(deflatten(stored, "spans"))
     assert plan.count("Exchange ") == 1 and "InMemoryTableScan" not in plan
+
+
+def test_derived_packets_are_rebuilt_without_sorts_of_whole_rows(spark, sf):
+    """What is exchanged are the fields a span is built from, once; the spans themselves are neither exchanged nor sorted."""
+    plan = plan_of(deflatten(flatten_spans(fixtures.span_packets(spark, sf)), "spans"))
+    above, below = plan.split("REPARTITION_BY_NUM", 1)
+    assert above.count("Exchange ") == 1 and "Sort [" not in above and "Window" not in above
+    assert above.count("ObjectHashAggregate") == 4
+    assert "rpc.method" not in below and "kvlist_value" not in below
