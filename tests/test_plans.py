@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from otelier.functions.series import _bounds, with_previous
 from otelier.operators.flatten import flatten_logs, flatten_spans
 from otelier.operators.relational import count_rows, dedup_rows, dedup_subset, filter_id, filter_valid
@@ -107,3 +108,10 @@ def test_derived_packets_are_rebuilt_without_sorts_of_whole_rows(spark, sf):
     assert above.count("Exchange ") == 1 and "Sort [" not in above and "Window" not in above
     assert above.count("ObjectHashAggregate") == 4
     assert "rpc.method" not in below and "kvlist_value" not in below
+
+
+@pytest.mark.parametrize("name", ["attr_map_nested", "attr_strindex_nested"])
+def test_nested_values_are_rendered_in_many_tasks(spark, sf, name):
+    """The customers are one small file; their values take long to render."""
+    per_task = [r["count"] for r in entry.queries()[name](spark, sf).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == 8 and max(per_task) <= 2 * sum(per_task) / 8
