@@ -166,7 +166,7 @@ def packet_lineage(spark, sf):
 SELECT batch, CAST(1 AS BIGINT) AS scopes, count(*) AS spans, string_agg(span_id, ',' ORDER BY okey, line) AS span_ids
 FROM spans GROUP BY batch""", SPANS)
 def deflatten_spans(spark, sf):
-    packets = deflatten(flatten_spans(fixtures.span_packets(spark, sf)), "spans")
+    packets = deflatten(flatten_spans(fixtures.span_packets_in_small_tasks(spark, sf)), "spans")
     scopes = F.flatten(F.transform("resourceSpans", lambda r: r["scopeSpans"]))
     spans = F.flatten(F.transform(scopes, lambda s: s["spans"]))
     return packets.select(

@@ -103,11 +103,13 @@ def test_packets_are_rebuilt_on_one_exchange(stored):
 
 def test_derived_packets_are_rebuilt_without_sorts_of_whole_rows(spark, sf):
     """What is exchanged are the fields a span is built from, once; the spans themselves are neither exchanged nor sorted."""
-    plan = plan_of(deflatten(flatten_spans(fixtures.span_packets(spark, sf)), "spans"))
+    plan = plan_of(entry.queries()["deflatten"](spark, sf))
     above, below = plan.split("REPARTITION_BY_NUM", 1)
     assert above.count("Exchange ") == 1 and "Sort [" not in above and "Window" not in above
     assert above.count("ObjectHashAggregate") == 4
     assert "rpc.method" not in below and "kvlist_value" not in below
+    # where packets are written, adaptive execution may still lower the number of tasks, and so of files
+    assert "REPARTITION_BY_NUM" not in plan_of(fixtures.span_packets(spark, sf))
 
 
 @pytest.mark.parametrize("name", ["attr_map_nested", "attr_strindex_nested"])
