@@ -161,7 +161,8 @@ def stream_lineage(spark, sf):
     lines = spark.read.text(write_packets(spark, sf, "logs"))
     write_lines(lines.select(F.explode(F.array("value", "value")).alias("value")), path)
     streamed = ingested(spark, "logs", path).groupBy("batch_UUID").agg(F.count(F.lit(1)).alias("n"))
-    read = read_packets(spark, "logs", path).select("batch_UUID", F.lit(1).alias("read"))
+    # compressed files look small enough to broadcast their ids, of which the driver would hold one per packet
+    read = read_packets(spark, "logs", path).select("batch_UUID", F.lit(1).alias("read")).hint("merge")
     return streamed.join(read, "batch_UUID", "left").agg(
         F.count_distinct("batch_UUID").alias("packets"), F.sum("n").alias("n"), F.count("read").alias("same_ids"))
 

@@ -117,3 +117,11 @@ def test_nested_values_are_rendered_in_many_tasks(spark, sf, name):
     """The customers are one small file; their values take long to render."""
     per_task = [r["count"] for r in entry.queries()[name](spark, sf).groupBy(F.spark_partition_id()).count().collect()]
     assert len(per_task) == 8 and max(per_task) <= 2 * sum(per_task) / 8
+
+
+def test_ids_of_packets_are_not_broadcast(spark, sf):
+    """There is one per packet, and the driver would hold all of them."""
+    found = entry.queries()["stream_lineage"](spark, sf)
+    assert "Broadcast" not in plan_of(found)
+    found.collect()
+    assert "Broadcast" not in plan_of(found)
