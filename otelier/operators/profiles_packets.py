@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from otelier.functions.expressions import let
+from otelier.functions.expressions import let, place_in, search_steps, sorted_table
 from otelier.operators.flatten import RESOURCE_COLUMNS, SCOPE_COLUMNS
 from otelier.operators.profiles_flatten import PROFILE_COLUMNS
 from otelier.schemas import (
@@ -25,7 +25,11 @@ def _samples(rows: DataFrame) -> DataFrame:
     once = rows.repartition("batch_UUID").withColumn("_copy", F.row_number().over(copy)).filter("_copy = 1")
     samples = once.groupBy(*_PACKET, *_PLACES[:-1]).agg(
         F.sort_array(F.collect_list(F.struct("value_seq_no", "value", "timestamp_unix_nano"))).alias("points"),
-        *[F.first(c).alias(c) for c in (*_SAMPLE_COLUMNS, *_OUTER)])
+        F.first(F.struct(*_SAMPLE_COLUMNS, *_OUTER)).alias("_first"))
+    # all that is made of the samples refers to both lists of columns as wholes (no sample is without a point), so that it
+    # shares one exchange of the rows; with columns pruned differently the rows would be computed once for each
+    samples = samples.filter(F.size("points") > 0).select(
+        *_PACKET, *_PLACES[:-1], "points", *[F.col(f"_first.{c}").alias(c) for c in (*_SAMPLE_COLUMNS, *_OUTER)])
     return samples.withColumn("stack_no", F.dense_rank().over(Window.partitionBy("batch_UUID").orderBy("stack")) - 1)
 
 
@@ -58,8 +62,8 @@ def _filled(items: Column, place: str, build: Callable[[Column], Column], kind:
 
 
 def _at(table: Column, x: Column) -> Column:
-    """The number of an entry in its table, -1 (which is no entry) for null."""
-    return F.when(x.isNull(), -1).otherwise(F.array_position(table, x).cast("int") - 1)
+    """The number of an entry in its table, which is sorted, -1 (which is no entry) for null."""
+    return F.coalesce(place_in(table, F.col("steps"), x), F.lit(-1))
 
 
 def _indices(table: Column, entries: Column) -> Column:
@@ -71,7 +75,7 @@ def deflatten_profiles(rows: DataFrame) -> DataFrame:
 
     Strings, attributes, functions, mappings, locations, stacks and links that are equal within a packet become one entry
     of its dictionary. Stacks and locations are numbered by windows over the packet, on the one exchange by packet id; the
-    small tables by position. Nodes of a packet that gave no rows come back empty; copies of a row (a packet read
+    other tables are sorted and searched by halves. Nodes of a packet that gave no rows come back empty; copies of a row (a packet read
     twice) are dropped. Groups are no larger than a packet and its copies.
     """
     samples = _samples(rows)
@@ -98,19 +102,19 @@ def deflatten_profiles(rows: DataFrame) -> DataFrame:
     whole = packets.join(shared, "batch_UUID").join(_stacks_and_locations(samples), "batch_UUID")
     whole = whole.withColumn("locations", F.transform("locations", lambda l: l["at"]))
 
-    present = lambda array: F.array_distinct(F.filter(array, lambda x: x.isNotNull()))
     whole = whole.withColumns({
-        "mappings": present(F.transform("locations", lambda l: l["mapping"])),
-        "functions": present(F.flatten(F.transform("locations", lambda l: F.transform(l["lines"], lambda n: n["function"]))))})
+        "mappings": sorted_table(F.transform("locations", lambda l: l["mapping"])),
+        "functions": sorted_table(F.flatten(F.transform("locations", lambda l: F.transform(l["lines"], lambda n: n["function"]))))})
     no_list = F.array().cast(f"array<{KEY_VALUE_UNIT}>")
     listed = F.concat(F.col("of_samples"), F.col("of_profiles"), F.transform("locations", lambda l: F.coalesce(l["attributes"], no_list)),
                       F.transform("mappings", lambda m: F.coalesce(m["attributes"], no_list)))
-    whole = whole.withColumn("attributes", present(F.flatten(listed)))
+    whole = whole.withColumn("attributes", sorted_table(F.flatten(listed)))
     texts = F.concat(
         F.array(F.lit("")), F.transform("attributes", lambda a: a["key"]), F.transform("attributes", lambda a: a["unit"]),
         F.transform("mappings", lambda m: m["filename"]), *[F.transform("functions", _field(c)) for c in ("name", "system_name", "filename")],
         *[F.transform(v, _field(c)) for v in ("periods", "types") for c in ("type", "unit")])
-    whole = whole.withColumn("strings", present(texts))
+    whole = whole.withColumn("strings", sorted_table(texts))
+    whole = whole.withColumn("steps", search_steps(F.greatest(*[F.size(t) for t in ("strings", "attributes", "functions", "mappings", "links")])))
     return whole.select(*_PACKET, _resources().alias("resourceProfiles"), _dictionary().cast(DICTIONARY).alias("dictionary"))
 
 

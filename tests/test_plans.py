@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from otelier.functions.expressions import place_in, search_steps, sorted_table
 from otelier.functions.series import _bounds, with_previous
 from otelier.operators.flatten import flatten_logs, flatten_spans
 from otelier.operators.relational import count_rows, dedup_rows, dedup_subset, filter_id, filter_valid
@@ -125,3 +126,28 @@ def test_ids_of_packets_are_not_broadcast(spark, sf):
     assert "Broadcast" not in plan_of(found)
     found.collect()
     assert "Broadcast" not in plan_of(found)
+
+
+def test_profiles_are_rebuilt_from_one_exchange_without_linear_search(spark, sf):
+    """What is made of the rows shares their exchange, so the rows are computed once."""
+    found = entry.queries()["deflatten_profiles"](spark, sf)
+    found.collect()
+    plan = plan_of(found).split("== Initial Plan ==")[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(batch_UUID" in line]
+    assert sum("ReusedExchange" not in line for line in exchanges) == 1
+    assert "array_position(" not in plan and "array_distinct(transform(locations" not in plan
+
+
+def test_places_in_sorted_tables(spark):
+    """Equal structs are one entry; every entry is found, whatever the size of the table."""
+    for n in (0, 1, 2, 3, 7, 8, 100):
+        entries = [(i % 10, None if i % 3 == 0 else f"t{i // 2}") for i in range(n)]
+        df = spark.createDataFrame([([*entries, *entries[::-1], None],)], "items array<struct<a int, b string>>")
+        df = df.withColumn("t", sorted_table(F.col("items"))).withColumn("steps", search_steps(F.size("t")))
+        table, places = df.select("t", F.transform("items", lambda x: place_in(F.col("t"), F.col("steps"), x))).first()
+        assert len(table) == len(set(entries)) and {tuple(x) for x in table} == set(entries)
+        assert [tuple(table[i]) for i in places[:-1]] == [*entries, *entries[::-1]] and places[-1] is None
+    texts = spark.createDataFrame([(["", "a", "b", None], None)], "t array<string>, none array<string>")
+    steps = search_steps(F.size("t"))
+    assert texts.select(F.transform("t", lambda x: place_in(F.col("t"), steps, x)), place_in(F.col("none"), search_steps(F.size("none")), F.lit("a"))).first()[:] == (
+        [0, 1, 2, None], None)
