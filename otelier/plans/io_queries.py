@@ -5,7 +5,7 @@ Everything goes to a fresh folder below the cluster's checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from otelier.operators.metrics import metric_exploded
 from otelier.plans import fixtures
@@ -80,12 +80,15 @@ def counts_sql(layouts: tuple[str, ...], signals: tuple[str, ...] = SIGNALS) ->
         for s, (_, number, t, _, text) in CONTENT.items() if s in signals for layout in layouts)
 
 
+def sums(signal: str) -> list[Column]:
+    number, _, _, text, _ = CONTENT[signal]
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.col(number) % 1000003).alias("numbers"),
+            (F.sum(F.length(text)) if text else F.lit(0)).cast("bigint").alias("texts")]
+
+
 def counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
     rows = [
-        df.groupBy().agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col(CONTENT[a][0]) % 1000003).alias("numbers"),
-            (F.sum(F.length(CONTENT[a][3])) if CONTENT[a][3] else F.lit(0)).cast("bigint").alias("texts"),
-        ).select(F.lit(a).alias("signal"), F.lit(b).alias("layout"), "n", "numbers", "texts")
+        df.groupBy().agg(*sums(a)).select(F.lit(a).alias("signal"), F.lit(b).alias("layout"), "n", "numbers", "texts")
         for (a, b), df in tables.items()
     ]
     table = rows[0]
@@ -117,12 +120,14 @@ def rejected_packets(spark, sf):
 
 @query("src_dispatch", counts_sql(("raw", "flat")), LOGS, SPANS, POINTS, PROFILES)
 def dispatch(spark, sf):
-    base, tables = scratch_path(spark, "dispatch"), {}
+    """Raw rows are counted as they pass on to the flat table, so packets are parsed once."""
+    base, tables, raw_rows = scratch_path(spark, "dispatch"), {}, []
     for signal in SIGNALS:
-        raw = read_signal(spark, signal, "raw", write_packets(spark, sf, signal))
-        tables[signal, "raw"] = raw
-        tables[signal, "flat"] = read_signal(spark, signal, "flat", write_flat(raw, signal, base))
-    return counts(tables)
+        raw, seen = read_signal(spark, signal, "raw", write_packets(spark, sf, signal)), Observation()
+        tables[signal, "flat"] = read_signal(spark, signal, "flat", write_flat(raw.observe(seen, *sums(signal)), signal, base))
+        raw_rows.append(F.struct(F.lit(signal).alias("signal"), F.lit("raw").alias("layout"), *[
+            F.lit(seen.get[c]).cast("bigint").alias(c) for c in ("n", "numbers", "texts")]))
+    return counts(tables).unionByName(spark.range(1).select(F.inline(F.array(*raw_rows))))
 
 
 @query("src_stream", LOG_SQL, LOGS)

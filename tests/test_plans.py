@@ -120,6 +120,13 @@ def test_nested_values_are_rendered_in_many_tasks(spark, sf, name):
     assert len(per_task) == 8 and max(per_task) <= 2 * sum(per_task) / 8
 
 
+def test_dispatch_parses_packets_once(spark, sf):
+    """Raw rows are counted while they are written as flat ones."""
+    found = entry.queries()["src_dispatch"](spark, sf)
+    assert "from_json(StructField(resource" not in plan_of(found)
+    assert {(r["signal"], r["layout"]) for r in found.collect()} == {(s, y) for s in fixtures.PACKETS for y in ("raw", "flat")}
+
+
 def test_ids_of_packets_are_not_broadcast(spark, sf):
     """There is one per packet, and the driver would hold all of them."""
     found = entry.queries()["stream_lineage"](spark, sf)
