@@ -237,3 +237,18 @@ def test_profile_packets_are_rebuilt(spark):
     tables = again.select("dictionary.*").first()
     assert {n: len(tables[n]) for n in tables.asDict()} == {
         "stringTable": 8, "attributeTable": 2, "mappingTable": 1, "functionTable": 2, "locationTable": 3, "stackTable": 3, "linkTable": 2}
+
+
+def test_names_in_camel_case_are_not_rewritten(spark):
+    """Only a packet with other than known names is looked through for names in snake_case, which costs a pass over its text."""
+    plan = packets(spark, "logs", {"resourceLogs": []})._jdf.queryExecution().optimizedPlan().toString()
+    known, snake_case = plan.find("(?:(?:"), plan.find("_[a-z0-9]++")
+    assert 0 < known < snake_case
+    texts = [{"resourceLogs": [{"schemaUrl": s}]} for s in ('a_b": 1', '\\"', "", 'x\\', '"snake_case":', "a\nb")]
+    for spell in (lambda x: x, snake):
+        read = packets(spark, "logs", *[spell(t) for t in texts])
+        assert rejected(read).count() == 0
+        found = rows_of(read, F.get("resourceLogs", F.lit(0))["schemaUrl"])
+        assert found == sorted(((t["resourceLogs"][0]["schemaUrl"],) for t in texts), key=repr)
+    bad = [*[spell({"resourceLogs": [{"schemaUrl": "", "colour_red": 1}]}) for spell in (lambda x: x, snake)], '{"resourceLogs": [],', '{"resourceLogs: []}']
+    assert rejected(packets(spark, "logs", *bad)).count() == 4
