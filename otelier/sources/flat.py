@@ -93,13 +93,16 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 def _cut(stored: DataFrame, plan: DataFrame, by_rows: bool) -> DataFrame:
     """The rows of files that are too large, dealt in their order to `pieces` tasks for each file, from task `first` on. Cuts
-    follow the length of the rows as text, or their number, which cuts where text can't (many small rows and a large one)."""
+    follow the number of the rows, which needs no sort of them, or their length as text, where rows differ in size."""
     names = [column(c) for c in stored.columns]
-    size = F.lit(1) if by_rows else F.octet_length(F.to_json(F.struct(*names)))
-    rows = _with_file(stored).join(plan, F.col("_file") == F.col("file")).withColumn("_size", size)
-    in_file = Window.partitionBy("_file")
-    upto = in_file.orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
-    share = F.coalesce(F.sum("_size").over(upto), F.lit(0)) / F.sum("_size").over(in_file)
+    rows = _with_file(stored).join(plan, F.col("_file") == F.col("file"))
+    if by_rows:
+        share = F.col("_index") / F.col("rows")
+    else:
+        rows = rows.withColumn("_size", F.octet_length(F.to_json(F.struct(*names))))
+        in_file = Window.partitionBy("_file")
+        upto = in_file.orderBy("_index").rowsBetween(Window.unboundedPreceding, -1)
+        share = F.coalesce(F.sum("_size").over(upto), F.lit(0)) / F.sum("_size").over(in_file)
     piece = (F.col("first") + F.floor(share * F.col("pieces"))).cast("int")
     total = plan.agg(F.sum("pieces")).first()[0]
     return rows.withColumn("_piece", piece).repartitionById(int(total), "_piece").sortWithinPartitions("_file", "_index").select(*names)
@@ -120,14 +123,16 @@ def _in_small_files(df: DataFrame, max_file_bytes: int, options: dict[str, int])
         df.write.options(**options).parquet(path)
         stored = spark.read.schema(schema).parquet(path)
         counted = _with_file(stored).groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-        sizes = file_sizes(spark, path).join(counted, "file").withColumn(
+        # written down, since each use would open all files again
+        file_sizes(spark, path).join(counted, "file").withColumn(
             "pieces", F.when((F.col("bytes") > max_file_bytes) & (F.col("rows") > 1),
-                             F.least(F.col("rows"), F.ceil(F.col("bytes") * _MARGIN / max_file_bytes))))
+                             F.least(F.col("rows"), F.ceil(F.col("bytes") * _MARGIN / max_file_bytes)))).write.parquet(f"{base}/sizes-{number}")
+        sizes = spark.read.schema("file string, bytes long, rows long, pieces long").parquet(f"{base}/sizes-{number}")
         small.append(sizes.filter("pieces IS NULL").select("file"))
-        plan = sizes.filter("pieces IS NOT NULL").select("file", "pieces", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("first"))
+        plan = sizes.filter("pieces IS NOT NULL").select("file", "rows", "pieces", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("first"))
         if plan.isEmpty():
             break
-        df, number = _cut(stored, plan, by_rows=number % 2 == 1), number + 1
+        df, number = _cut(stored, plan, by_rows=number % 2 == 0), number + 1
     files = small[0]
     for more in small[1:]:
         files = files.unionByName(more)

@@ -11,7 +11,7 @@ from otelier.plans.fixtures import encode_packets
 from otelier.plans.io_queries import write_packets
 from otelier.session import scratch_path
 from otelier.sources.flat import (
-    FLATTEN, SMALL_FILES, file_sizes, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata,
+    FLATTEN, SMALL_FILES, _cut, file_sizes, read_flat, read_hourly, read_signal, run_metadata, stream_signal, with_event_time, with_run_metadata,
     write_all, write_flat, write_hourly,
 )
 from otelier.sources.packets import read_packets, stream_packets
@@ -218,3 +218,18 @@ def test_a_large_row_among_small_ones_is_a_file_of_its_own(spark, tmp_path):
     back = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows")).join(file_sizes(spark, path), "file")
     large = back.filter("bytes > 20000").collect()
     assert [r["rows"] for r in large] == [1] and back.agg(F.sum("rows")).first()[0] == 50
+
+
+def test_files_are_cut_by_rows_without_a_sort_of_all(spark, tmp_path):
+    """Whole rows went through a window and were written as JSON to weigh them, also where they are alike."""
+    path = str(tmp_path / "in")
+    spark.range(900).select(F.col("id").alias("time_unix_nano"), F.lit("x").alias("severity_text")).coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    plan = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows")).select("file", "rows", F.lit(7).alias("pieces"), F.lit(0).alias("first"))
+    for by_rows in (True, False):
+        cut = _cut(stored, plan, by_rows=by_rows)
+        text_plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert ("Window" in text_plan or "to_json" in text_plan) != by_rows
+        pieces = cut.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.min("time_unix_nano").alias("a"), F.max("time_unix_nano").alias("z")).orderBy("a").collect()
+        assert len(pieces) == 7 and sum(r["n"] for r in pieces) == 900 and all(r["z"] - r["a"] == r["n"] - 1 for r in pieces)
+        assert max(r["n"] for r in pieces) <= 135
